@@ -33,13 +33,13 @@ TOUCH_COLUMNS = [
 _DAY = "touchpoint_date"
 
 
-def _with_customer_totals(cells: DataFrame, half_life_days: float) -> DataFrame:
+def _with_customer_totals(cells: DataFrame, customer: str, half_life_days: float) -> DataFrame:
     """Add each customer's totals, first conversion, end touches and decay weight to its cells.
 
     Cells carry ``_n`` touches, ``_conversions``, ``_first`` and ``_last`` (structs that start with
     day and touch id). All windows share one shuffle on the customer.
     """
-    by_customer = Window.partitionBy("customer_id")
+    by_customer = Window.partitionBy(customer)
     converted_day = F.when(F.col("_conversions") > 0, F.col(_DAY))
     return (
         cells.withColumns(
@@ -81,9 +81,25 @@ def _middle_credit(first: float, last: float) -> Column:
     return expr.rnd(rest / F.nullif(F.col("total_touches") - 2, F.lit(0)), 6)
 
 
-def _touch_cells(touches: DataFrame, half_life_days: float) -> DataFrame:
+# Cell key of a touch. It is never NULL, so one partitioning serves the aggregate, the join and
+# the window inside a cell; an unknown day sorts first.
+_CELL = ["_customer", "_day", "_range"]
+
+
+def _keyed(touches: DataFrame) -> DataFrame:
+    customer = F.concat(F.lit("c"), F.col("customer_id").cast("string"))
+    return touches.select(*TOUCH_COLUMNS).withColumns(
+        {
+            "_customer": F.coalesce(customer, F.lit("")),
+            "_day": F.coalesce(F.col(_DAY), F.lit("0001-01-01").cast("date")),
+            "_range": skew.id_range(touches, "touch_id"),
+        }
+    )
+
+
+def _touch_cells(rows: DataFrame, half_life_days: float) -> DataFrame:
     cells = (
-        touches.groupBy("customer_id", _DAY, "_range")
+        rows.groupBy(*_CELL, _DAY)
         .agg(
             F.count("touch_id").alias("_n"),
             F.sum("is_converted").alias("_conversions"),
@@ -92,23 +108,13 @@ def _touch_cells(touches: DataFrame, half_life_days: float) -> DataFrame:
         )
         .withColumns(
             {
-                "_first": F.struct(F.col(_DAY).alias("day"), F.col("_min_id").alias("id")),
-                "_last": F.struct(F.col(_DAY).alias("day"), F.col("_max_id").alias("id")),
+                "_first": F.struct("_day", F.col("_min_id").alias("id")),
+                "_last": F.struct("_day", F.col("_max_id").alias("id")),
             }
         )
     )
-    return _with_customer_totals(cells, half_life_days).withColumn(
-        "_before", skew.earlier_total("_n", ["customer_id"], [_DAY, "_range"])
-    )
-
-
-def _touches_with_totals(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
-    """Every touch with its customer's totals, joined on the cell it belongs to."""
-    rows = touches.select(*TOUCH_COLUMNS).withColumn("_range", skew.id_range(touches, "touch_id"))
-    cells = _touch_cells(rows, half_life_days).select(
-        F.col("customer_id").alias("_c"),
-        F.col(_DAY).alias("_d"),
-        F.col("_range").alias("_r"),
+    return _with_customer_totals(cells, "_customer", half_life_days).select(
+        *_CELL,
         "total_touches",
         "_total_conversions",
         "days_before_conversion",
@@ -116,14 +122,14 @@ def _touches_with_totals(touches: DataFrame, half_life_days: float = 7.0) -> Dat
         F.col("_last_touch.id").alias("_last_id"),
         "_weight",
         "_total_weight",
-        "_before",
+        skew.earlier_total("_n", ["_customer"], ["_day", "_range"]).alias("_before"),
     )
-    same = (
-        F.col("customer_id").eqNullSafe(F.col("_c"))
-        & F.col(_DAY).eqNullSafe(F.col("_d"))
-        & F.col("_range").eqNullSafe(F.col("_r"))
-    )
-    return rows.join(cells, same)
+
+
+def _touches_with_totals(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
+    """Every touch with its customer's totals, joined on the cell it belongs to."""
+    rows = _keyed(touches)
+    return rows.join(_touch_cells(rows, half_life_days), _CELL)
 
 
 def _credited(
@@ -178,7 +184,7 @@ def time_decay(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
 
 def position_based(touches: DataFrame, first: float = 0.4, last: float = 0.4) -> DataFrame:
     """Fixed shares for the first and last touch, the rest split over the touches between."""
-    in_cell = Window.partitionBy("customer_id", _DAY, "_range").orderBy("touch_id")
+    in_cell = Window.partitionBy(*_CELL).orderBy("touch_id")
     rows = _touches_with_totals(_known(touches)).withColumn(
         "touch_position", F.col("_before") + F.row_number().over(in_cell)
     )
@@ -237,7 +243,7 @@ def channel_credits(
             }
         )
     )
-    rows = _with_customer_totals(cells, half_life_days)
+    rows = _with_customer_totals(cells, "customer_id", half_life_days)
     has_first = F.col("_first").eqNullSafe(F.col("_first_touch"))
     has_last = F.col("_last").eqNullSafe(F.col("_last_touch"))
     n, total, converting = F.col("_n"), F.col("total_touches"), F.col("_total_conversions") > 0

@@ -27,9 +27,18 @@ def daily_counts(
     )
     if not zero_fill:
         return counts
-    span = counts.groupBy("series").agg(F.sequence(F.min("ds"), F.max("ds")).alias("_days"))
-    days = span.select("series", F.explode("_days").alias("ds"))
-    return days.join(counts, ["series", "ds"], "left").fillna({"y": 0.0})
+    # Each day also stands for the empty days up to the next one: no second pass, no join.
+    following = F.lead("ds").over(Window.partitionBy("series").orderBy("ds"))
+    until = F.coalesce(F.date_sub(following, 1), F.col("ds"))
+    return (
+        counts.withColumn("_until", until)
+        .withColumn("_day", F.explode(F.sequence("ds", "_until")))
+        .select(
+            "series",
+            F.col("_day").alias("ds"),
+            F.when(F.col("_day") == F.col("ds"), F.col("y")).otherwise(F.lit(0.0)).alias("y"),
+        )
+    )
 
 
 def split(series: DataFrame, train_end: Column | str) -> tuple[DataFrame, DataFrame]:
@@ -48,15 +57,21 @@ def fit_predict(
     """History plus ``horizon`` days: trend, weekly and yearly effect, forecast and band.
 
     ``yhat = trend + weekly + yearly``: a least-squares line, the mean residual per weekday, and
-    the mean remaining residual per calendar month. Future days join the history with an unknown
-    ``y``, which aggregates ignore, so fitting and predicting are the same pass.
+    the mean remaining residual per calendar month. The last day of a series is expanded into the
+    future days, whose ``y`` is unknown and ignored by aggregates, so fitting and predicting are
+    the same pass over one shuffle.
     """
-    last = series.groupBy("series").agg(F.max("ds").alias("_last"))
-    ahead = F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon))
-    future = last.select("series", F.explode(ahead).alias("ds"), F.lit(None).cast("double").alias("y"))
-    rows = series.select("series", "ds", F.col("y").cast("double").alias("y")).unionByName(future)
-
     by_series = Window.partitionBy("series")
+    is_last = F.col("ds") == F.max("ds").over(by_series)
+    expanded = F.when(is_last, F.sequence("ds", F.date_add("ds", horizon))).otherwise(F.array("ds"))
+    known = F.when(F.col("_day") == F.col("ds"), F.col("y").cast("double"))
+    rows = (
+        series.select("series", "ds", "y")
+        .withColumn("_days", expanded)
+        .withColumn("_day", F.explode("_days"))
+        .select("series", F.col("_day").alias("ds"), known.alias("y"))
+    )
+
     zero = F.lit(0.0)
     y, x, trend = F.col("y"), F.col("_x").cast("double"), F.col("trend")
     slope = F.coalesce(F.regr_slope(y, x).over(by_series), zero)

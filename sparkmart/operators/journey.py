@@ -30,6 +30,7 @@ def interval_join(
     sessions: DataFrame,
     lookback_days: int = 30,
     spread: str = "touch_id",
+    hot: DataFrame | None = None,
     share: float = skew.HOT_SHARE,
     salts: int = skew.SALTS,
 ) -> DataFrame:
@@ -37,9 +38,10 @@ def interval_join(
 
     Days are cut into buckets of the lookback width: a session has one bucket, a touch reaches two,
     so customer and bucket form an equi-key that yields each pair once. A customer has at most one
-    session per timeout, which bounds the session rows per key; the touches of hot customers are
-    salted on top.
+    session per timeout, which bounds the session rows per key; the touches of ``hot`` customers
+    (found by counting, unless given) are salted on top.
     """
+    hot = skew.hot_keys(touches, "customer_id", share) if hot is None else hot
     width = max(1, lookback_days)
     day = F.col("touchpoint_date")
     reach = F.array_distinct(
@@ -51,8 +53,7 @@ def interval_join(
     ahead = F.datediff(session_day, day)
     return (
         skew.salted_join(
-            left, right, ["customer_id", "_bucket"], "customer_id", F.col(spread),
-            share=share, salts=salts,
+            left, right, ["customer_id", "_bucket"], "customer_id", F.col(spread), hot, salts=salts
         )
         .where(ahead.between(0, lookback_days))
         .withColumn("days_before_session", ahead)
@@ -65,8 +66,10 @@ def touchpoints(
     customers: DataFrame,
     sessions: DataFrame,
     lookback_days: int = 30,
-    **skew_options,
+    share: float = skew.HOT_SHARE,
+    salts: int = skew.SALTS,
 ) -> DataFrame:
+    """Touches with customer attributes, paired with the sessions that follow them."""
     visits = sessions.select(
         "true_session_id",
         "customer_id",
@@ -76,7 +79,9 @@ def touchpoints(
         "entry_page",
         "exit_page",
     )
-    return interval_join(enrich(touches, customers), visits, lookback_days, **skew_options)
+    hot = skew.hot_keys(touches, "customer_id", share)
+    enriched = enrich(touches, customers)
+    return interval_join(enriched, visits, lookback_days, hot=hot, salts=salts)
 
 
 def _spending(txns: DataFrame) -> DataFrame:

@@ -8,39 +8,54 @@ numbers are joined back on (customer, second).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmart.functions import expr
 from sparkmart.operators import skew
 
 
+# Stands for an unreadable time; sorts before any real second. Visitor, second and bucket are built
+# so that Spark knows they are never NULL: joins on them then add no NULL filters, the plan parts
+# that read the same seconds stay identical, and Spark reuses their shuffle.
+_NO_TIME = -(2**62)
+
+
 def _visitors(df: DataFrame, key: str, anonymous: str) -> DataFrame:
+    """Add a non-NULL ``_visitor`` for every event that takes part."""
+    known = F.concat(F.lit("c"), F.col(key).cast("string"))
     if anonymous == "drop":
-        known = df.where(F.col(key).isNotNull())
-        return known.withColumn("_visitor", F.col(key).cast("string"))
+        df = df.where(F.col(key).isNotNull())
+        return df.withColumn("_visitor", F.coalesce(known, F.lit("")))
     if anonymous == "by_client_session":
-        client = F.concat(F.lit("anonymous-"), F.col("session_id"))
-        return df.withColumn("_visitor", F.coalesce(F.col(key).cast("string"), client))
+        client = F.concat(F.lit("a"), F.col("session_id"))
+        return df.withColumn("_visitor", F.coalesce(known, client, F.lit("")))
     if anonymous == "keep":
-        return df.withColumn("_visitor", F.col(key).cast("string"))
+        return df.withColumn("_visitor", F.coalesce(known, F.lit("")))
     raise ValueError(f"anonymous must be drop, by_client_session or keep, not {anonymous!r}")
 
 
+def _session_label(key: str) -> Column:
+    """Prefix of a session id; NULL for events that belong to nobody."""
+    name = F.substring("_visitor", 2, 2**30)
+    anonymous = F.when(F.col("_visitor").startswith("a"), F.concat(F.lit("anonymous-"), name))
+    return F.coalesce(F.col(key).cast("string"), anonymous)
+
+
 def _numbered_seconds(events: DataFrame, timeout_s: int, bucket_s: int) -> DataFrame:
     """(visitor, second, session_number) for every second in which the visitor was active."""
+    timed = F.col("_second") > _NO_TIME
     by_bucket = Window.partitionBy("_visitor", "_bucket").orderBy("_second")
     upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     gap = F.col("_second") - F.lag("_second").over(by_bucket)
     # Events without a readable time each open a session, sort first and share the last number.
     opens = (
-        F.when(F.col("_second").isNull(), F.col("_events"))
-        .when(gap > timeout_s, F.lit(1))
-        .otherwise(F.lit(0))
+        F.when(~timed, F.col("_events")).when(gap > timeout_s, F.lit(1)).otherwise(F.lit(0))
     )
     seconds = (
         events.groupBy("_visitor", "_second")
         .agg(F.count(F.lit(1)).alias("_events"))
-        .withColumn("_bucket", F.floor(F.col("_second") / bucket_s))
+        .withColumn("_bucket", F.coalesce(F.floor(F.col("_second") / bucket_s), F.lit(0)))
         .withColumn("_opens", opens)
         .withColumn("_local", F.sum("_opens").over(upto))
     )
@@ -49,10 +64,7 @@ def _numbered_seconds(events: DataFrame, timeout_s: int, bucket_s: int) -> DataF
     # previous bucket ended within the timeout.
     by_visitor = Window.partitionBy("_visitor").orderBy("_bucket")
     previous = F.lag("_last").over(by_visitor)
-    starts = F.when(
-        F.col("_first").isNotNull() & (previous.isNull() | (F.col("_first") - previous > timeout_s)),
-        F.lit(1),
-    ).otherwise(F.lit(0))
+    apart = previous.isNull() | (previous == _NO_TIME) | (F.col("_first") - previous > timeout_s)
     buckets = (
         seconds.groupBy("_visitor", "_bucket")
         .agg(
@@ -60,20 +72,13 @@ def _numbered_seconds(events: DataFrame, timeout_s: int, bucket_s: int) -> DataF
             F.max("_second").alias("_last"),
             F.sum("_opens").alias("_inner"),
         )
-        .withColumn("_starts", starts)
+        .withColumn("_starts", expr.flag01((F.col("_first") > _NO_TIME) & apart))
         .withColumn("_total", F.col("_starts") + F.col("_inner"))
         .withColumn("_before", skew.earlier_total("_total", ["_visitor"], ["_bucket"]))
-        .select(
-            F.col("_visitor").alias("_v"),
-            F.col("_bucket").alias("_b"),
-            (F.col("_before") + F.col("_starts")).alias("_offset"),
-        )
+        .select("_visitor", "_bucket", (F.col("_before") + F.col("_starts")).alias("_offset"))
     )
-    same = F.col("_visitor").eqNullSafe(F.col("_v")) & F.col("_bucket").eqNullSafe(F.col("_b"))
-    return seconds.join(buckets, same).select(
-        F.col("_visitor").alias("_v"),
-        F.col("_second").alias("_s"),
-        (F.col("_offset") + F.col("_local")).alias("session_number"),
+    return seconds.join(buckets, ["_visitor", "_bucket"]).select(
+        "_visitor", "_second", (F.col("_offset") + F.col("_local")).alias("session_number")
     )
 
 
@@ -91,14 +96,14 @@ def assign(
     seconds later. Events without a customer are dropped, sessionised by the client's own
     ``session_id``, or kept as one unidentified visitor (``anonymous="keep"``).
     """
-    events = _visitors(df, key, anonymous).withColumn("_second", F.unix_timestamp(F.col(ts)))
+    second = F.coalesce(F.unix_timestamp(F.col(ts)), F.lit(_NO_TIME))
+    events = _visitors(df, key, anonymous).withColumn("_second", second)
     numbers = _numbered_seconds(events.select("_visitor", "_second"), timeout_s, bucket_s)
-    same = F.col("_visitor").eqNullSafe(F.col("_v")) & F.col("_second").eqNullSafe(F.col("_s"))
-    session_id = F.concat(F.col("_visitor"), F.format_string("%04d", F.col("session_number")))
+    number = F.format_string("%04d", F.col("session_number"))
     return (
-        events.join(numbers, same)
-        .withColumn("true_session_id", session_id)
-        .drop("_visitor", "_second", "_v", "_s")
+        events.join(numbers, ["_visitor", "_second"])
+        .withColumn("true_session_id", F.concat(_session_label(key), number))
+        .drop("_visitor", "_second")
     )
 
 

@@ -40,16 +40,16 @@ def salted_join(
     on: Sequence[str],
     key: str,
     spread: Column,
+    hot: DataFrame,
     how: str = "inner",
-    share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join on ``on`` (which contains ``key``) with the hot keys of ``big`` salted.
+    """Equi-join on ``on`` (which contains ``key``) with the ``hot_keys`` of ``big`` salted.
 
     ``spread`` is any well-mixed row identifier of ``big``; the salt is a hash of it, not a random
     number, so a recomputed task produces the same rows.
     """
-    hot = F.broadcast(hot_keys(big, key, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
     left = big.join(hot, key, "left").withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
@@ -62,11 +62,11 @@ def salted_join(
 
 
 def id_range(df: DataFrame, column: str) -> Column:
-    """Order-preserving coarse bucket of a unique id: value range or string prefix."""
+    """Order-preserving coarse bucket of a unique id (value range or string prefix), never NULL."""
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.IntegralType):
-        return F.floor(F.col(column) / ID_RANGE).cast("bigint")
-    return F.substring(F.col(column).cast("string"), 1, ID_PREFIX)
+        return F.coalesce(F.floor(F.col(column) / ID_RANGE), F.lit(-(2**62)))
+    return F.coalesce(F.substring(F.col(column).cast("string"), 1, ID_PREFIX), F.lit(""))
 
 
 def earlier_total(value: str, keys: Sequence[str], order: Sequence[str]) -> Column:
@@ -77,11 +77,3 @@ def earlier_total(value: str, keys: Sequence[str], order: Sequence[str]) -> Colu
     """
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(w), F.lit(0))
-
-
-def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """``l.c <=> r.c`` for every column: NULL keys match each other."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
