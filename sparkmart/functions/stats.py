@@ -26,8 +26,6 @@ _HART_DEN = (
 _HART_LIMIT = 7.07106781186547
 _SQRT_2PI = 2.506628274631
 
-_lgamma = np.vectorize(lgamma, otypes=[float])
-
 
 def _poly(x: Column, coefficients: tuple[float, ...]) -> Column:
     out = F.lit(coefficients[0])
@@ -61,6 +59,10 @@ def z_power(power: float) -> float:
     return NormalDist().inv_cdf(power)
 
 
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    return np.array([lgamma(v) for v in x], dtype=float)
+
+
 def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Regularised I_x(a, b) by Lentz's continued fraction, for x below (a + 1) / (a + b + 2)."""
     log_beta = _lgamma(a + b) - _lgamma(a) - _lgamma(b)
