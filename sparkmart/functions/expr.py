@@ -115,10 +115,19 @@ def parse_date(c: ColumnLike, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 
 def parse_ts(c: ColumnLike, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Wall-clock timestamp: the result does not depend on the session time zone."""
+    """Wall-clock timestamp; the same in every session time zone without daylight saving."""
     parsed = F.coalesce(*[F.try_to_timestamp(as_col(c), F.lit(f)) for f in formats])
     return parsed.cast("timestamp_ntz")
 
 
+def epoch_seconds(df: DataFrame, column: str) -> Column:
+    """Whole seconds, rounded down. Wall-clock timestamps are counted without any time zone."""
+    c = F.col(column)
+    if not isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.unix_timestamp(c)
+    days = F.unix_date(F.to_date(c)).cast("bigint")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

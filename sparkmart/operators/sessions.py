@@ -96,7 +96,7 @@ def assign(
     seconds later. Events without a customer are dropped, sessionised by the client's own
     ``session_id``, or kept as one unidentified visitor (``anonymous="keep"``).
     """
-    second = F.coalesce(F.unix_timestamp(F.col(ts)), F.lit(_NO_TIME))
+    second = F.coalesce(expr.epoch_seconds(df, ts), F.lit(_NO_TIME))
     events = _visitors(df, key, anonymous).withColumn("_second", second)
     numbers = _numbered_seconds(events.select("_visitor", "_second"), timeout_s, bucket_s)
     number = F.format_string("%04d", F.col("session_number"))
@@ -118,11 +118,13 @@ def rollup(
     order = [F.col(ts).alias("ts"), F.col(tie).alias("tie")]
     first = F.min(F.struct(*order, "page", "device", "utm_source", "utm_campaign"))
     last = F.max(F.struct(*order, "page"))
+    seconds = expr.epoch_seconds(df, ts)
     return (
         df.groupBy("true_session_id", key)
         .agg(
             F.min(ts).alias("session_start"),
             F.max(ts).alias("session_end"),
+            (F.max(seconds) - F.min(seconds)).alias("session_duration_seconds"),
             F.count(tie).alias("event_count"),
             first.alias("_first"),
             last.alias("_last"),
@@ -140,8 +142,6 @@ def rollup(
             F.col("_first.device").alias("device"),
             F.col("_first.utm_source").alias("utm_source"),
             F.col("_first.utm_campaign").alias("utm_campaign"),
-            (F.unix_timestamp("session_end") - F.unix_timestamp("session_start")).alias(
-                "session_duration_seconds"
-            ),
+            "session_duration_seconds",
         )
     )

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call-site capture for error messages costs more than planning for wide expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -18,9 +18,20 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
 
 
+def _assert_scalable(plan):
+    """No cross join, and a single partition only for the last step of a global aggregate."""
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lines = plan.splitlines()
+    for line, below in zip(lines, lines[1:]):
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in below, below
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, con, name):
-    assert differences(name, QUERIES[name](spark, SF), con, ORACLE[name]) is None
+    df = QUERIES[name](spark, SF)
+    assert differences(name, df, con, ORACLE[name]) is None
+    _assert_scalable(df._jdf.queryExecution().executedPlan().toString())
 
 
 def test_entry(spark):
