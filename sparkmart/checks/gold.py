@@ -435,6 +435,10 @@ QUERIES["attribution_stack"] = lambda spark, sf: attribution.stack(
     [getattr(attribution, m)(_touch_facts(spark, sf)) for m in attribution.MODELS]
 )
 SQL["attribution_stack"] = "SELECT * FROM a_all"
+QUERIES["attribution_all_models"] = lambda spark, sf: attribution.all_models(
+    _touch_facts(spark, sf)
+)
+SQL["attribution_all_models"] = "SELECT * FROM a_all"
 QUERIES["attribution_comparison"] = lambda spark, sf: attribution.compare(_touch_facts(spark, sf))
 ob.CTE["a_summary"] = f"""
 SELECT attribution_model, channel, count(*) AS total_touches, {ob.money('touch_cost')} AS spend,

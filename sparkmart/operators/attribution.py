@@ -132,10 +132,46 @@ def _touches_with_totals(touches: DataFrame, half_life_days: float = 7.0) -> Dat
     return rows.join(_touch_cells(rows, half_life_days), _CELL)
 
 
+def _is_first() -> Column:
+    return F.col("touch_id") == F.col("_first_id")
+
+
+def _is_last() -> Column:
+    return F.col("touch_id") == F.col("_last_id")
+
+
+def _position_credit(first: float, last: float) -> Column:
+    n = F.col("total_touches")
+    return (
+        F.when(F.col("_total_conversions") == 0, F.lit(0.0))
+        .when(n == 1, F.lit(1.0))
+        .when(n == 2, F.lit(0.5))
+        .when(_is_first(), F.lit(first))
+        .when(_is_last(), F.lit(last))
+        .otherwise(_middle_credit(first, last))
+    )
+
+
+def _credit(model: str, first: float = 0.4, last: float = 0.4) -> Column:
+    """Credit of a touch under a model, from the columns of ``_touches_with_totals``."""
+    credit = {
+        "first_click": lambda: expr.flag01(_is_first() & (F.col("_total_conversions") > 0)),
+        "last_click": lambda: expr.flag01(_is_last() & (F.col("is_converted") == 1)),
+        "linear": _linear_credit,
+        "time_decay": _decay_credit,
+        "position_based": lambda: _position_credit(first, last),
+    }[model]()
+    return credit.cast("double")
+
+
+def _known(touches: DataFrame) -> DataFrame:
+    return touches.where(F.col("customer_id").isNotNull())
+
+
 def _credited(
-    rows: DataFrame, model: str, credit: Column, extra: Sequence[str | Column] = ()
+    rows: DataFrame, model: str, extra: Sequence[str | Column] = (), **shares: float
 ) -> DataFrame:
-    credit = credit.cast("double")
+    credit = _credit(model, **shares)
     return rows.select(
         *TOUCH_COLUMNS,
         *extra,
@@ -145,41 +181,25 @@ def _credited(
     )
 
 
-def _is_first() -> Column:
-    return F.col("touch_id") == F.col("_first_id")
-
-
-def _is_last() -> Column:
-    return F.col("touch_id") == F.col("_last_id")
-
-
 def first_click(touches: DataFrame) -> DataFrame:
     """The earliest touch of a customer with any conversion gets 1."""
-    rows = _touches_with_totals(touches)
-    credit = expr.flag01(_is_first() & (F.col("_total_conversions") > 0))
-    return _credited(rows, "first_click", credit)
+    return _credited(_touches_with_totals(touches), "first_click")
 
 
 def last_click(touches: DataFrame) -> DataFrame:
     """The latest touch of a customer gets 1, only if that touch itself converted."""
-    rows = _touches_with_totals(touches)
-    credit = expr.flag01(_is_last() & (F.col("is_converted") == 1))
-    return _credited(rows, "last_click", credit)
-
-
-def _known(touches: DataFrame) -> DataFrame:
-    return touches.where(F.col("customer_id").isNotNull())
+    return _credited(_touches_with_totals(touches), "last_click")
 
 
 def linear(touches: DataFrame) -> DataFrame:
     """Every touch of a converting customer gets the same share."""
-    return _credited(_touches_with_totals(_known(touches)), "linear", _linear_credit())
+    return _credited(_touches_with_totals(_known(touches)), "linear")
 
 
 def time_decay(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
     """Shares halve every ``half_life_days`` before the first conversion."""
     rows = _touches_with_totals(_known(touches), half_life_days)
-    return _credited(rows, "time_decay", _decay_credit(), ["days_before_conversion"])
+    return _credited(rows, "time_decay", ["days_before_conversion"])
 
 
 def position_based(touches: DataFrame, first: float = 0.4, last: float = 0.4) -> DataFrame:
@@ -188,32 +208,44 @@ def position_based(touches: DataFrame, first: float = 0.4, last: float = 0.4) ->
     rows = _touches_with_totals(_known(touches)).withColumn(
         "touch_position", F.col("_before") + F.row_number().over(in_cell)
     )
-    n = F.col("total_touches")
-    credit = (
-        F.when(F.col("_total_conversions") == 0, F.lit(0.0))
-        .when(n == 1, F.lit(1.0))
-        .when(n == 2, F.lit(0.5))
-        .when(_is_first(), F.lit(first))
-        .when(_is_last(), F.lit(last))
-        .otherwise(_middle_credit(first, last))
-    )
     label = expr.cases([(_is_first(), "first"), (_is_last(), "last")], "middle")
     extra = ["total_touches", "touch_position", label.alias("touch_position_label")]
-    return _credited(rows, "position_based", credit, extra)
+    return _credited(rows, "position_based", extra, first=first, last=last)
+
+
+STACK_COLUMNS = [
+    "channel", "campaign", "touch_cost", "attribution_credit", "attributed_conversions",
+    "attribution_model",
+]
 
 
 def stack(models: Sequence[DataFrame]) -> DataFrame:
-    """Model outputs on top of each other, reduced to the columns the comparison reads."""
-    columns = [
-        "channel", "campaign", "touch_cost", "attribution_credit", "attributed_conversions",
-        "attribution_model",
-    ]
-    out, *rest = [m.select(*columns) for m in models]
+    """Model outputs on top of each other, reduced to the columns they share."""
+    out, *rest = [m.select(*STACK_COLUMNS) for m in models]
     for m in rest:
         out = out.unionByName(m)
     return out
 
 
+def all_models(touches: DataFrame, models: Sequence[str] = tuple(MODELS)) -> DataFrame:
+    """The same rows as ``stack`` of the models, from one pass over the touches."""
+    known = F.col("customer_id").isNotNull()
+    entries = []
+    for model in models:
+        applies = known if model in KNOWN_CUSTOMER_ONLY else F.lit(True)
+        entry = F.struct(
+            F.lit(model).alias("attribution_model"), _credit(model).alias("attribution_credit")
+        )
+        entries.append(F.when(applies, entry))
+    rows = _touches_with_totals(touches)
+    return (
+        rows.select("channel", "campaign", "touch_cost", F.inline(F.array(*entries)))
+        .where(F.col("attribution_model").isNotNull())
+        .withColumn("attributed_conversions", F.col("attribution_credit"))
+        .select(*STACK_COLUMNS)
+    )
+
+
 def channel_credits(
     touches: DataFrame, half_life_days: float = 7.0, first: float = 0.4, last: float = 0.4
 ) -> DataFrame:

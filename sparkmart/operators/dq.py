@@ -52,35 +52,41 @@ def _row_failure(check: Check) -> Column:
     return ~c.isin(*check.args)
 
 
-def _report(row: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -> DataFrame:
-    entries = [
-        F.struct(
-            F.lit(k.model).alias("model"),
-            F.lit(k.column).alias("column"),
-            F.lit(k.kind).alias("check"),
-            F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")).alias("failures"),
+def _label(check: Check) -> str:
+    return f"{check.column}|{check.kind}"
+
+
+def _report(row: DataFrame, model: str) -> DataFrame:
+    """Turn a one-row frame whose columns are check labels into report rows."""
+    label = F.split("label", "\\|")
+    return (
+        row.select([F.col(c).cast("bigint").alias(c) for c in row.columns])
+        .unpivot([], row.columns, "label", "failures")
+        .select(
+            F.lit(model).alias("model"),
+            label[0].alias("column"),
+            label[1].alias("check"),
+            F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"),
         )
-        for k, c in zip(checks, columns)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    )
 
 
 def _check_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row checks and the uniqueness of one key in a single pass over the model."""
+    model = checks[0].model
     rows = [k for k in checks if k.kind in ("not_null", "accepted_values")]
     keys = [k for k in checks if k.kind == "unique"]
-    names = [f"_c{i}" for i in range(len(rows))]
-    bad = [F.count_if(_row_failure(k)).alias(n) for k, n in zip(rows, names)]
+    bad = [F.count_if(_row_failure(k)).alias(_label(k)) for k in rows]
     if not keys:
-        return _report(df.agg(*bad), rows, names)
+        return _report(df.agg(*bad), model)
     key = keys[0].column
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *bad)
-    repeated = F.count_if((F.col("_n") > 1) & F.col(key).isNotNull()).alias("_repeated")
-    row = per_key.agg(repeated, *[F.sum(n).alias(n) for n in names])
-    out = _report(row, [keys[0], *rows], ["_repeated", *names])
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *bad)
+    repeated = F.count_if((F.col("_n") > 1) & F.col("_key").isNotNull())
+    totals = [F.sum(F.col(f"`{_label(k)}`")).alias(_label(k)) for k in rows]
+    out = _report(per_key.agg(repeated.alias(_label(keys[0])), *totals), model)
     for extra in keys[1:]:
-        counts = unique(df, extra.column).agg(F.count(F.lit(1)).alias("_repeated"))
-        out = out.unionByName(_report(counts, [extra], ["_repeated"]))
+        counts = unique(df, extra.column).agg(F.count(F.lit(1)).alias(_label(extra)))
+        out = out.unionByName(_report(counts, model))
     return out
 
 
@@ -99,6 +105,6 @@ def run(models: Mapping[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
             if k.kind == "relationships":
                 parent, pk = k.args
                 orphans = relationship(models[name], k.column, models[parent], pk)
-                parts.append(_report(orphans.agg(F.sum("rows").alias("_n")), [k], ["_n"]))
+                parts.append(_report(orphans.agg(F.sum("rows").alias(_label(k))), name))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("passed", F.col("failures") == 0)

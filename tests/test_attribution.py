@@ -127,6 +127,14 @@ def test_comparison_equals_the_stacked_models(touches):
         assert abs(sum(r.conversion_share_pct for k, r in got.items() if k[0] == model) - 100) < 0.05
 
 
+def test_one_pass_equals_the_stack(touches):
+    _, df = touches
+    stacked = attribution.stack([getattr(attribution, m)(df) for m in attribution.MODELS])
+    one_pass = attribution.all_models(df)
+    assert one_pass.columns == stacked.columns
+    assert sorted(map(str, one_pass.collect())) == sorted(map(str, stacked.collect()))
+
+
 def test_recommendation_limits(spark):
     rows = [("linear", c, s) for c, s in (("a", 5.0), ("b", -5.0), ("c", 4.99), ("d", None))]
     df = spark.createDataFrame(
