@@ -2,8 +2,10 @@
 
 Only whole seconds decide a session boundary, so events are first reduced to one row per customer
 and second. Boundaries are found inside time buckets of one customer (at most ``bucket_s`` rows
-each, whatever the traffic), bucket totals are carried forward per customer, and the resulting
-numbers are joined back on (customer, second).
+each, whatever the traffic) and carried forward from bucket to bucket. What comes back to the
+events is one row per customer and bucket with the few seconds at which sessions open: a small
+table, broadcast if it measures small, else joined on (customer, bucket) where AQE can split a
+bucket that is flooded with events.
 """
 
 from __future__ import annotations
@@ -15,9 +17,7 @@ from sparkmart.functions import expr
 from sparkmart.operators import skew
 
 
-# Stands for an unreadable time; sorts before any real second. Visitor, second and bucket are built
-# so that Spark knows they are never NULL: joins on them then add no NULL filters, the plan parts
-# that read the same seconds stay identical, and Spark reuses their shuffle.
+# Stands for an unreadable time; sorts before any real second.
 _NO_TIME = -(2**62)
 
 
@@ -42,43 +42,44 @@ def _session_label(key: str) -> Column:
     return F.coalesce(F.col(key).cast("string"), anonymous)
 
 
-def _numbered_seconds(events: DataFrame, timeout_s: int, bucket_s: int) -> DataFrame:
-    """(visitor, second, session_number) for every second in which the visitor was active."""
-    timed = F.col("_second") > _NO_TIME
-    by_bucket = Window.partitionBy("_visitor", "_bucket").orderBy("_second")
-    upto = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gap = F.col("_second") - F.lag("_second").over(by_bucket)
-    # Events without a readable time each open a session, sort first and share the last number.
-    opens = (
-        F.when(~timed, F.col("_events")).when(gap > timeout_s, F.lit(1)).otherwise(F.lit(0))
-    )
-    seconds = (
-        events.groupBy("_visitor", "_second")
-        .agg(F.count(F.lit(1)).alias("_events"))
-        .withColumn("_bucket", F.coalesce(F.floor(F.col("_second") / bucket_s), F.lit(0)))
-        .withColumn("_opens", opens)
-        .withColumn("_local", F.sum("_opens").over(upto))
-    )
+def _bucket_of(second: Column, bucket_s: int) -> Column:
+    return F.coalesce(F.floor(second / bucket_s), F.lit(0))
+
 
-    # One row per visitor and bucket: its first second opens a session unless the visitor's
-    # previous bucket ended within the timeout.
+def _session_starts(events: DataFrame, timeout_s: int, bucket_s: int) -> DataFrame:
+    """(visitor, bucket, offset, starts): sessions opened before the bucket and inside it.
+
+    ``starts`` holds the seconds at which sessions open. They are more than ``timeout_s`` apart, so
+    a bucket has at most ``bucket_s / timeout_s + 1`` of them.
+    """
+    second, timed = F.col("_second"), F.col("_second") > _NO_TIME
+    by_bucket = Window.partitionBy("_visitor", "_bucket").orderBy("_second")
+    gap = second - F.lag("_second").over(by_bucket)
+    # One row per visitor and bucket. Its first second opens a session unless the visitor's
+    # previous bucket ended within the timeout; the others were compared inside the bucket.
     by_visitor = Window.partitionBy("_visitor").orderBy("_bucket")
     previous = F.lag("_last").over(by_visitor)
     apart = previous.isNull() | (previous == _NO_TIME) | (F.col("_first") - previous > timeout_s)
-    buckets = (
-        seconds.groupBy("_visitor", "_bucket")
+    opening = F.when((F.col("_first") > _NO_TIME) & apart, F.array("_first")).otherwise(F.array())
+    return (
+        events.groupBy("_visitor", "_second")
+        .agg(F.count(F.lit(1)).alias("_events"))
+        .withColumn("_bucket", _bucket_of(second, bucket_s))
+        .withColumn("_opens", timed & (gap > timeout_s))
+        .groupBy("_visitor", "_bucket")
         .agg(
             F.min("_second").alias("_first"),
             F.max("_second").alias("_last"),
-            F.sum("_opens").alias("_inner"),
+            F.collect_list(F.when(F.col("_opens"), second)).alias("_inner"),
+            F.sum(F.when(~timed, F.col("_events")).otherwise(F.lit(0))).alias("_untimed"),
         )
-        .withColumn("_starts", expr.flag01((F.col("_first") > _NO_TIME) & apart))
-        .withColumn("_total", F.col("_starts") + F.col("_inner"))
+        .withColumn("_starts", F.concat(opening, "_inner"))
+        # Events without a readable time each open a session, sort first and share the last number.
+        .withColumn("_total", F.size("_starts") + F.col("_untimed"))
         .withColumn("_before", skew.earlier_total("_total", ["_visitor"], ["_bucket"]))
-        .select("_visitor", "_bucket", (F.col("_before") + F.col("_starts")).alias("_offset"))
-    )
-    return seconds.join(buckets, ["_visitor", "_bucket"]).select(
-        "_visitor", "_second", (F.col("_offset") + F.col("_local")).alias("session_number")
+        .select(
+            "_visitor", "_bucket", (F.col("_before") + F.col("_untimed")).alias("_offset"), "_starts"
+        )
     )
 
 
@@ -97,13 +98,17 @@ def assign(
     ``session_id``, or kept as one unidentified visitor (``anonymous="keep"``).
     """
     second = F.coalesce(expr.epoch_seconds(df, ts), F.lit(_NO_TIME))
+    second = F.coalesce(expr.epoch_seconds(df, ts), F.lit(_NO_TIME))
     events = _visitors(df, key, anonymous).withColumn("_second", second)
-    numbers = _numbered_seconds(events.select("_visitor", "_second"), timeout_s, bucket_s)
+    starts = _session_starts(events.select("_visitor", "_second"), timeout_s, bucket_s)
+    opened = F.size(F.filter("_starts", lambda start: start <= F.col("_second")))
     number = F.format_string("%04d", F.col("session_number"))
     return (
-        events.join(numbers, ["_visitor", "_second"])
+        events.withColumn("_bucket", _bucket_of(F.col("_second"), bucket_s))
+        .join(starts, ["_visitor", "_bucket"])
+        .withColumn("session_number", F.col("_offset") + opened)
         .withColumn("true_session_id", F.concat(_session_label(key), number))
-        .drop("_visitor", "_second")
+        .drop("_visitor", "_second", "_bucket", "_offset", "_starts")
     )
 
 

@@ -34,14 +34,17 @@ def test_comparison_needs_no_join_and_one_touch_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
-def test_sessions_read_the_seconds_once(spark):
+def test_sessions_shuffle_the_events_once(spark):
     events = tv.clean_entity(spark, SF, "events_raw")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         plan = final_plan(sessions.assign(events))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "ReusedExchange" in plan and plan.count("FileScan") == 2
+    wide = [line for line in plan.splitlines() if "FileScan" in line and "props" in line]
+    assert plan.count("FileScan") == 2 and len(wide) == 1
+    # seconds, buckets, visitors; the two sides of the join
+    assert plan.count("- Exchange hashpartitioning") == 5
 
 
 def test_forecast_is_one_pass(spark):
