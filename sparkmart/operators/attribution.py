@@ -3,10 +3,10 @@
 Input is one row per marketing touch: ``touch_id, customer_id, channel, campaign,
 touchpoint_date, touch_cost, is_converted``.
 
-A customer's touches are never gathered in one task. They are first reduced to cells (customer,
-day, id range); everything a model needs to know about a customer is a window over these cells,
-and the touch-level models join it back on the cell key, which spreads a hot customer over its
-days and id ranges. The comparison works on cells alone and joins nothing.
+A customer's touches are never gathered in one task. They are first reduced to cells (customer and
+day, for positions also id range); everything a model needs to know about a customer is a window
+over these cells, and the touch-level models join it back on the cell key, which spreads a hot
+customer over its days. The comparison works on cells alone and joins nothing.
 """
 
 from __future__ import annotations
@@ -86,13 +86,13 @@ def _middle_credit(first: float, last: float) -> Column:
 _CELL = ["_customer", "_day", "_range"]
 
 
-def _keyed(touches: DataFrame) -> DataFrame:
+def _keyed(touches: DataFrame, ranked: bool) -> DataFrame:
     customer = F.concat(F.lit("c"), F.col("customer_id").cast("string"))
     return touches.select(*TOUCH_COLUMNS).withColumns(
         {
             "_customer": F.coalesce(customer, F.lit("")),
             "_day": F.coalesce(F.col(_DAY), F.lit("0001-01-01").cast("date")),
-            "_range": skew.id_range(touches, "touch_id"),
+            "_range": skew.id_range(touches, "touch_id") if ranked else F.lit(0),
         }
     )
 
@@ -126,9 +126,11 @@ def _touch_cells(rows: DataFrame, half_life_days: float) -> DataFrame:
     )
 
 
-def _touches_with_totals(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
+def _touches_with_totals(
+    touches: DataFrame, half_life_days: float = 7.0, ranked: bool = False
+) -> DataFrame:
     """Every touch with its customer's totals, joined on the cell it belongs to."""
-    rows = _keyed(touches)
+    rows = _keyed(touches, ranked)
     return rows.join(_touch_cells(rows, half_life_days), _CELL)
 
 
@@ -205,7 +207,7 @@ def time_decay(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
 def position_based(touches: DataFrame, first: float = 0.4, last: float = 0.4) -> DataFrame:
     """Fixed shares for the first and last touch, the rest split over the touches between."""
     in_cell = Window.partitionBy(*_CELL).orderBy("touch_id")
-    rows = _touches_with_totals(_known(touches)).withColumn(
+    rows = _touches_with_totals(_known(touches), ranked=True).withColumn(
         "touch_position", F.col("_before") + F.row_number().over(in_cell)
     )
     label = expr.cases([(_is_first(), "first"), (_is_last(), "last")], "middle")

@@ -21,8 +21,9 @@ def dedup(
     """Keep the newest row per key.
 
     Rows that agree on ``order_by`` are ordered by ``ties`` (default: every other column), so the
-    survivor never depends on partitioning. Catalyst limits each map task to one row per key
-    before the shuffle (WindowGroupLimit), which keeps a heavily duplicated key cheap.
+    survivor never depends on partitioning. Rows without a key count as one key. Catalyst limits
+    each map task to one row per key before the shuffle (WindowGroupLimit), which keeps a heavily
+    duplicated key cheap.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [c for c in order_by if c in df.columns]
@@ -70,7 +71,13 @@ def parse_dates(
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    return df.fillna(dict(values))
+    """Replace NULLs (and only NULLs) by constants of the column's own type."""
+    return df.withColumns(
+        {
+            c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+            for c, v in values.items()
+        }
+    )
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

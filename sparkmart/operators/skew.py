@@ -22,9 +22,8 @@ from pyspark.sql import types as T
 # 1 / HOT_SHARE hot keys: the list of them is bounded whatever the size of the data.
 HOT_SHARE = 1 / 128
 SALTS = 128
-# Integer tie-breakers are cut into ranges of this many values, strings into prefixes this long.
-ID_RANGE = 1_000_000
-ID_PREFIX = 10
+# Unique ids are cut into about this many ranges.
+ID_RANGES = 256
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
@@ -61,12 +60,30 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def id_range(df: DataFrame, column: str) -> Column:
-    """Order-preserving coarse bucket of a unique id (value range or string prefix), never NULL."""
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, T.IntegralType):
-        return F.coalesce(F.floor(F.col(column) / ID_RANGE), F.lit(-(2**62)))
-    return F.coalesce(F.substring(F.col(column).cast("string"), 1, ID_PREFIX), F.lit(""))
+def _common_prefix(a: Column, b: Column) -> Column:
+    """Number of leading characters two strings share."""
+    positions = F.sequence(F.lit(1), F.greatest(F.length(a), F.length(b)) + 1)
+    differs = F.transform(positions, lambda i: F.substring(a, i, 1) != F.substring(b, i, 1))
+    found = F.array_position(differs, F.lit(True))
+    return F.when(found > 0, found - 1).otherwise(F.length(a)).cast("int")
+
+
+def id_range(df: DataFrame, column: str, ranges: int = ID_RANGES) -> Column:
+    """Order-preserving coarse range of a unique id, never NULL.
+
+    Numbers are cut into equal steps between the smallest and the largest id, strings after the two
+    characters that follow their common prefix. The count of ranges stays small for dense and for
+    random ids alike; they follow from the smallest and largest id, read as a scalar subquery.
+    """
+    c = F.col(column)
+    ends = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+    if isinstance(df.schema[column].dataType, T.StringType):
+        length = ends.select(_common_prefix(F.col("lo"), F.col("hi")) + 2).scalar()
+        return F.coalesce(F.substring(c, F.lit(1), length), F.lit(""))
+    lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
+    grid = ends.select(F.struct(lo.alias("lo"), ((hi - lo) / ranges + 1).alias("step"))).scalar()
+    steps = (c.cast("double") - grid.getField("lo")) / grid.getField("step")
+    return F.coalesce(F.floor(steps), F.lit(-1))
 
 
 def earlier_total(value: str, keys: Sequence[str], order: Sequence[str]) -> Column:

@@ -1,6 +1,7 @@
 """Plan shapes that keep the operators scalable."""
 
 from conftest import final_plan
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkmart.operators import attribution, clean, facts, forecast, sessions, supply
@@ -84,14 +85,25 @@ def test_adaptive_execution_splits_a_hot_customer(spark):
 
 
 def test_hot_customer_is_spread_over_cells(spark):
-    """No cell of a customer holds more than one day and id range of touches."""
-    touches = spark.range(30000).select(
-        F.col("id").alias("touch_id"), F.lit("HOT").alias("customer_id"), F.lit("Email").alias("channel"),
+    """Neither the cells of a customer nor the touches of a cell are many, for any kind of id."""
+    base = spark.range(30000).select(
+        F.col("id"), F.lit("HOT").alias("customer_id"), F.lit("Email").alias("channel"),
         F.lit("k").alias("campaign"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("touchpoint_date"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("touchpoint_date"),
         F.lit(1.0).alias("touch_cost"), (F.col("id") % 10 == 0).cast("int").alias("is_converted"),
     )
-    rows = attribution._keyed(touches)
-    assert rows.groupBy(*attribution._CELL).count().agg(F.max("count")).first()[0] == 100
-    ranked = attribution.position_based(touches)
-    assert ranked.agg(F.max("touch_position"), F.count_distinct("touch_position")).first()[:] == (30000, 30000)
+    ids = {
+        "dense": F.col("id"),
+        "random": F.xxhash64("id"),
+        "counter": F.format_string("TOUCH_%07d", F.col("id")),
+        "hash": F.md5(F.col("id").cast("string")),
+    }
+    for kind, touch_id in ids.items():
+        touches = base.withColumn("touch_id", touch_id).drop("id")
+        cells = attribution._keyed(touches, ranked=True).groupBy(*attribution._CELL).count()
+        cells_of_customer, largest = cells.agg(F.count("count"), F.max("count")).first()
+        assert cells_of_customer <= 3 * 257 and largest <= 5000, kind
+        ranked = attribution.position_based(touches)
+        order = Window.partitionBy("customer_id").orderBy("touchpoint_date", "touch_id")
+        wrong = ranked.withColumn("_p", F.row_number().over(order)).where("_p != touch_position")
+        assert wrong.count() == 0 and ranked.count() == 30000, kind
