@@ -102,7 +102,8 @@ def assign(
     events = _visitors(df, key, anonymous).withColumn("_second", second)
     starts = _session_starts(events.select("_visitor", "_second"), timeout_s, bucket_s)
     opened = F.size(F.filter("_starts", lambda start: start <= F.col("_second")))
-    number = F.format_string("%04d", F.col("session_number"))
+    digits = F.col("session_number").cast("string")
+    number = F.when(F.col("session_number") < 10000, F.lpad(digits, 4, "0")).otherwise(digits)
     return (
         events.withColumn("_bucket", _bucket_of(F.col("_second"), bucket_s))
         .join(starts, ["_visitor", "_bucket"])
