@@ -6,7 +6,8 @@ from compare import differences, duck
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {k: q for k, q in entry.queries().items() if k not in entry.EXTRA_QUERIES}
+ORACLE = {k: q for k, q in entry.oracle_sql().items() if k not in entry.EXTRA_SQL}
 
 
 @pytest.fixture(scope="module")
