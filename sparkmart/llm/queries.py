@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import packing, shards, shared, token_files
+from sparkmart.llm import decontaminate, packing, quality, secrets_crf, shards, shared, token_files, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +23,16 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: _shipped(f)
     for f in (
+        decontaminate.op1_spaced_seeds,
         token_files.op2_token_files,
         shards.op3_hash_tree_shards,
         packing.op6_packing,
+        quality.op7_quality_rules,
+        secrets_crf.op8_secret_crf,
+        warc_zip.op10_warc_zip,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_spaced_seeds": decontaminate.OP1_SQL,
+    "op10_warc_zip": warc_zip.OP10_SQL,
+}
