@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import decontaminate, packing, quality, secrets_crf, shards, shared, token_files, warc_zip
+from sparkmart.llm import decontaminate, packing, quality, secrets_crf, setsketch, shards, shared, token_files, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {
         decontaminate.op1_spaced_seeds,
         token_files.op2_token_files,
         shards.op3_hash_tree_shards,
+        setsketch.op4_setsketch,
         packing.op6_packing,
         quality.op7_quality_rules,
         secrets_crf.op8_secret_crf,
