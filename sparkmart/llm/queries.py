@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import decontaminate, packing, quality, secrets_crf, setsketch, shards, shared, token_files, warc_zip
+from sparkmart.llm import decontaminate, packing, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
         token_files.op2_token_files,
         shards.op3_hash_tree_shards,
         setsketch.op4_setsketch,
+        suffix.op5_suffix_array,
         packing.op6_packing,
         quality.op7_quality_rules,
         secrets_crf.op8_secret_crf,

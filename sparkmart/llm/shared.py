@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -44,6 +45,12 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files of finished steps now, not at its next collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # type: ignore[union-attr]
+
+
 def filesystem(uri: str):
     """pyarrow file system and path of a URI; a bare path is local."""
     from pyarrow import fs
