@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import decontaminate, packing, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
+from sparkmart.llm import bilinear, decontaminate, packing, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,7 @@ QUERIES: dict[str, Query] = {
         packing.op6_packing,
         quality.op7_quality_rules,
         secrets_crf.op8_secret_crf,
+        bilinear.op9_log_bilinear,
         warc_zip.op10_warc_zip,
     )
 }
