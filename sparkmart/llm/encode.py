@@ -15,12 +15,14 @@ import unicodedata
 from array import array
 from itertools import chain
 
-CACHED_PIECES = 500_000  # per Python worker; a cache starts anew beyond that
+CACHED_PIECES = 650_000  # per Python worker; a cache starts anew beyond that
+CACHED_PARTS = 500_000
 CACHED_LENGTH = 64  # longer pieces are encoded each time
 
 # The tokenizers' own patterns.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = ".,;:!?*#$%&|"  # of one kind to either pattern
 
 
 def byte_letters() -> dict[int, str]:
@@ -56,13 +58,23 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _split(self, piece: str) -> list[str]:
+        """Parts of a piece by the pattern; letters and then plain signs need no pattern."""
+        core = piece.rstrip(SIGNS)
+        if (core[1:] if core[:1] == " " else core).isalpha():
+            return [core, piece[len(core) :]] if len(core) < len(piece) else [core]
+        return self.parts_of(piece)
+
     def _piece(self, piece: str) -> bytes:
-        if piece and max(piece) >= "ɐ":
-            return self.whole(piece)
+        if not piece.isascii():
+            if max(piece) >= "ɐ":
+                return self.whole(piece)
+            if not self.blank:
+                piece = unicodedata.normalize("NFC", piece)
         if not self.blank:
-            piece = unicodedata.normalize("NFC", piece).lower()
+            piece = piece.lower()
         out = []
-        for part in self.parts_of(piece):
+        for part in self._split(piece):
             ids = self.parts.get(part)
             if ids is None:
                 letters = part.encode().decode("latin-1").translate(self.letters)
@@ -81,7 +93,7 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > CACHED_PIECES:
             self._forget()
-        if len(self.parts) > CACHED_PIECES:
+        if len(self.parts) > CACHED_PARTS:
             self.parts = {}
         out = [b""] * len(texts)
         split: list[tuple[int, list[str]]] = []

@@ -44,7 +44,7 @@ NULL_ID = -(2**63)  # how a NULL doc_id is stored
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of 64 values as rows of ``width`` 64-bit words."""
     out = np.zeros((len(values), width), np.uint64)
-    for j in range(64):
+    for j in range(64 if width else 0):
         word, shift = divmod(j * width, 64)
         out[:, word] |= values[:, j] << np.uint64(shift)
         if shift + width > 64:
@@ -66,27 +66,46 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
 
 def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
     """Blocks of a run of unsigned 32-bit ids."""
-    out = []
-    for at in range(0, len(ids), BLOCK):
-        part = ids[at : at + BLOCK].astype(np.uint64)
-        low = int(part.min())
-        part = np.pad(part - np.uint64(low), (0, BLOCK - len(part)))
-        width = int(np.partition(part, k := int(BLOCK * percentile / 100))[k]).bit_length()
-        large = np.flatnonzero(part >> np.uint64(width))
-        extra = large.astype("<u2").tobytes() + part[large].astype("<u4").tobytes()
-        part[large] = 0
-        packed = _pack(part.reshape(-1, 64), width).astype("<u8").tobytes()
-        out.append(_HEAD.pack(low, width, len(large), len(packed)) + packed + extra)
+    n = -(-len(ids) // BLOCK)
+    if not n:
+        return []
+    whole = np.empty(n * BLOCK, np.uint32)
+    whole[: len(ids)] = ids
+    whole[len(ids) :] = ids[(n - 1) * BLOCK :].min()
+    rows = whole.reshape(n, BLOCK)
+    lows = rows.min(axis=1)
+    rows = rows - lows[:, None]
+    k = min(BLOCK - 1, int(BLOCK * percentile / 100))
+    tops = np.partition(rows, k, axis=1)[:, k]
+    widths = np.array([int(x).bit_length() for x in tops])
+    out = [b""] * n
+    for width in sorted(set(widths.tolist())):  # blocks of one width are packed together
+        at = np.flatnonzero(widths == width)
+        values = rows[at].astype(np.uint64)
+        large = values >> np.uint64(width) > 0
+        kept = np.where(large, np.uint64(0), values).reshape(-1, 64)
+        packed = _pack(kept, width).astype("<u8").reshape(len(at), -1)
+        for i, b in enumerate(at.tolist()):
+            where = np.flatnonzero(large[i])
+            extra = where.astype("<u2").tobytes() + rows[b][where].astype("<u4").tobytes()
+            out[b] = _HEAD.pack(int(lows[b]), width, len(where), 8 * packed.shape[1]) + packed[i].tobytes() + extra
     return out
 
 
-def decode_block(blob: bytes) -> np.ndarray:
-    low, width, n, size = _HEAD.unpack_from(blob)
-    packed = np.frombuffer(blob, "<u8", size // 8, _HEAD.size).reshape(-1, width or 1)
-    values = _unpack(packed if width else np.zeros((BLOCK // 64, 1), np.uint64), width).ravel()
-    where = np.frombuffer(blob, "<u2", n, _HEAD.size + size)
-    values[where] = np.frombuffer(blob, "<u4", n, _HEAD.size + size + 2 * n)
-    return (values + np.uint64(low)).astype("<u4")
+def decode_blocks(blobs: list[bytes]) -> np.ndarray:
+    """Ids of some blocks, padding included."""
+    out = np.empty((len(blobs), BLOCK), np.uint32)
+    heads = [_HEAD.unpack_from(b) for b in blobs]
+    for width in {h[1] for h in heads}:  # blocks of one width are unpacked together
+        at = [i for i, h in enumerate(heads) if h[1] == width]
+        words = np.concatenate([np.frombuffer(blobs[i], "<u8", heads[i][3] // 8, _HEAD.size) for i in at])
+        rows = len(at) * BLOCK // 64
+        out[at] = _unpack(words.reshape(rows, width), width).reshape(len(at), BLOCK)
+    for i, (low, _, n, size) in enumerate(heads):
+        where = np.frombuffer(blobs[i], "<u2", n, _HEAD.size + size)
+        out[i, where] = np.frombuffer(blobs[i], "<u4", n, _HEAD.size + size + 2 * n)
+        out[i] += np.uint32(low)
+    return out.ravel()
 
 
 def encode_file(doc_ids: list[int], counts: list[int], ids: np.ndarray) -> bytes:
@@ -122,8 +141,8 @@ class TokenFile:
         first, last = start // BLOCK, (start + length - 1) // BLOCK
         blob = self.file.read_at(self.starts[last + 1] - self.starts[first], self.starts[first])
         at = self.starts[first]
-        parts = [decode_block(blob[self.starts[b] - at : self.starts[b + 1] - at]) for b in range(first, last + 1)]
-        return np.concatenate(parts)[start - first * BLOCK :][:length]
+        parts = [blob[self.starts[b] - at : self.starts[b + 1] - at] for b in range(first, last + 1)]
+        return decode_blocks(parts)[start - first * BLOCK :][:length].astype("<u4")
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
