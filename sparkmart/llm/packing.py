@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,8 +88,6 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, w
     """Full windows and the rest of every document; ``with_ids`` adds the ids themselves."""
 
     def task(batches) -> Iterator:
-        import pyarrow as pa
-
         encode = encoder(tokenizer_path(tokenizer), True).encode
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
@@ -104,10 +103,6 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, w
                         out.append((doc, row, start, len(part) // 4, zlib.crc32(part), n, *([part] * with_ids)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
-        # schema is fixed by the declaration below
-
-    import pyarrow as pa
-
     names = ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     kinds = [pa.int64()] * 6 + [pa.binary()] * with_ids
     rows = docs.select(
@@ -123,7 +118,7 @@ def pack(cut: DataFrame, folder: str, window: int = WINDOW, group_pieces: int =
     groups = max(1, -(-cut.count() // group_pieces))
     group = F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(groups)).cast("int")
 
-    def task(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "row", "start"], ignore_index=True)
         pdf["place"], pdf["offset"], n = best_fit(pdf["length"].to_numpy(), window)
         return pdf.assign(windows=n)
@@ -150,7 +145,7 @@ def pack(cut: DataFrame, folder: str, window: int = WINDOW, group_pieces: int =
 def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
     """Padded sequences from packed pieces that carry their ids: one row for each sequence."""
 
-    def task(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("offset")
         ids = np.frombuffer(b"".join(pdf["ids"]), "<u4")
         padded = np.pad(ids, (0, window - len(ids)), constant_values=pad_id)

@@ -32,10 +32,11 @@ def workspace(spark: SparkSession, name: str) -> str:
 
     Only a session without that setting (as in tests) gets a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_sparkmart_root", None)
     if not root:
         root = "file://" + tempfile.mkdtemp(prefix="sparkmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context._sparkmart_root = root  # type: ignore[attr-defined]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

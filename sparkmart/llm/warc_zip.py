@@ -88,6 +88,9 @@ class StoredZip:
         size = file.size()
         tail = file.read_at(min(size, 65557), max(0, size - 65557))
         found = tail.rfind(b"PK\5\6")
+        # A comment may hold the same letters; the end record's own comment reaches the file's end.
+        while found >= 0 and found + _END.size + int.from_bytes(tail[found + 20 : found + 22], "little") != len(tail):
+            found = tail.rfind(b"PK\5\6", 0, found + 3)
         if found < 0:
             raise ValueError("no end of central directory")
         _, _, _, _, n, length, at, _ = _END.unpack_from(tail, found)

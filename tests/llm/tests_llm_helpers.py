@@ -1,0 +1,18 @@
+"""Plain versions of what the operators compute."""
+
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def word_sets(rows):
+    out = {}
+    for row in rows:
+        words = WORD.findall(lowered(row[1]))
+        runs = [tuple(words[k : k + 5]) for k in range(len(words) - 4)] or ([tuple(words)] if words else [])
+        out[row[0]] = frozenset(runs)
+    return out
