@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkmart.checks import gold  # noqa: F401  (defines the fact CTEs used below)
@@ -108,7 +109,7 @@ QUERIES["sop_category"] = lambda spark, sf: supply.sop_category(
     _health(spark, sf), _clean_transactions(spark, sf)
 )
 SQL["sop_category"] = _sop_sql(
-    "CAST(sum(CAST(coalesce(total_revenue, 0) AS DECIMAL(18,2))) AS DOUBLE)",
+    "CAST(sum(CAST(coalesce(total_revenue, 0) AS DECIMAL(38,10))) AS DOUBLE)",
     "sum(coalesce(total_transactions, 0))",
 )
 QUERIES["sop_category_demand_once"] = lambda spark, sf: supply.sop_category(
@@ -224,13 +225,19 @@ SQL["forecast_fit_components"] = (
 
 
 def _evaluation(spark, sf):
-    return forecast.evaluate(_split(spark, sf)[1], _fitted(spark, sf))
+    return forecast.backtest(_applications(spark, sf, "approval_status"), TRAIN_END)
 
 
 ob.CTE["h_eval"] = f"""
 SELECT t.*, yhat, abs(t.y - yhat) AS e FROM (SELECT * FROM h_daily WHERE ds > DATE '{TRAIN_END}') t
 LEFT JOIN h_fit f ON t.series = f.series AND t.ds = f.ds
 """
+QUERIES["forecast_evaluation"] = lambda spark, sf: forecast.evaluate(
+    _split(spark, sf)[1], _fitted(spark, sf)
+).select("series", "ds", "y", expr.rnd("yhat", 4).alias("yhat"), expr.rnd("abs_error", 4).alias("abs_error"))
+SQL["forecast_evaluation"] = (
+    f"SELECT series, ds, y, {ob.rnd('yhat', 4)} AS yhat, {ob.rnd('e', 4)} AS abs_error FROM h_eval"
+)
 QUERIES["forecast_accuracy"] = lambda spark, sf: forecast.accuracy(_evaluation(spark, sf))
 SQL["forecast_accuracy"] = f"""
 SELECT series, count(e) AS days, {ob.rnd('avg(e / nullif(y, 0) * 100)', 4)} AS mape,
@@ -259,9 +266,9 @@ FROM h_monthly WHERE mape IS NOT NULL GROUP BY series
 """
 
 
-def _published(spark, sf):
+def _published(spark, sf, by=None):
     return forecast.publish(
-        _fitted(spark, sf, by=None), "trend_v1", TRAIN_END, "2001-04-01 06:00:00"
+        _fitted(spark, sf, by=by), "trend_v1", TRAIN_END, "2001-04-01 06:00:00"
     )
 
 
@@ -286,16 +293,39 @@ QUERIES["sku_variance"] = lambda spark, sf: supply.sku_variance(
 )
 ob.CTE["i_forecast"] = f"""
 SELECT {ob.rnd('avg(predicted_applications)', 2)} AS avg_daily_forecast,
-  {ob.rnd('sum(predicted_applications)', 2)} AS total_forecast_30d
+  {ob.money('predicted_applications')} AS total_forecast_30d
 FROM h_published WHERE forecast_date >= DATE '{AS_OF}' AND forecast_date < DATE '{AS_OF}' + 30
 """
-SQL["sku_variance"] = f"""
+_VARIANCE = f"""
 SELECT * EXCLUDE (snapshot_date, v), {ob.rnd('v', 2)} AS supply_demand_variance,
   CASE WHEN v < 0 THEN 'DEFICIT' WHEN v < reorder_point THEN 'TIGHT' ELSE 'SURPLUS' END
     AS variance_status,
   {ob.rnd('CAST(stock_level AS DOUBLE) / nullif(avg_daily_forecast, 0)', 1)} AS forecast_days_of_supply
 FROM (SELECT *, stock_level - avg_daily_forecast * lead_time_days AS v
-  FROM i_warning CROSS JOIN i_forecast)
+  FROM i_warning CROSS JOIN {{figures}})
+"""
+SQL["sku_variance"] = _VARIANCE.format(figures="i_forecast")
+# One forecast per approval status: a day's demand is the sum of the series.
+QUERIES["sku_variance_by_series"] = lambda spark, sf: supply.sku_variance(
+    supply.stockout_warning(_health(spark, sf)), _published(spark, sf, "approval_status"), AS_OF
+)
+ob.CTE["h_published_series"] = ob.CTE["h_published"].replace("ha_fit", "h_fit")
+ob.CTE["i_forecast_series"] = f"""
+SELECT {ob.rnd('avg(d)', 2)} AS avg_daily_forecast, CAST(round(sum(d), 2) AS DOUBLE) AS total_forecast_30d
+FROM (SELECT forecast_date, sum(CAST(predicted_applications AS DECIMAL(38,10))) AS d
+  FROM h_published_series
+  WHERE forecast_date >= DATE '{AS_OF}' AND forecast_date < DATE '{AS_OF}' + 30 GROUP BY forecast_date)
+"""
+SQL["sku_variance_by_series"] = _VARIANCE.format(figures="i_forecast_series")
+QUERIES["warnings_by_severity"] = lambda spark, sf: supply.order_by_severity(
+    supply.stockout_warning(_health(spark, sf)), "days_of_supply"
+).select(
+    "product_id", "warning_level", "severity_rank",
+    F.row_number().over(Window.partitionBy("warning_level").orderBy("days_of_supply", "product_id")).alias("place"),
+)
+SQL["warnings_by_severity"] = """
+SELECT product_id, warning_level, severity_rank, CAST(row_number() OVER (PARTITION BY warning_level
+  ORDER BY days_of_supply NULLS FIRST, product_id) AS INTEGER) AS place FROM i_warning
 """
 
 # --- experiments ------------------------------------------------------------------------------
@@ -328,8 +358,8 @@ SELECT experiment, "group", {ob.total('success')} AS successes, count(success) A
 """
 
 
-def _proportions(spark, sf):
-    return abtest.proportions(_experiment(spark, sf), "experiment", outcome="success")
+def _proportions(spark, sf, **options):
+    return abtest.proportions(_experiment(spark, sf), "experiment", outcome="success", **options)
 
 
 _ARMS = """
@@ -371,8 +401,8 @@ QUERIES["ab_proportions"] = _proportions
 SQL["ab_proportions"] = "SELECT * FROM x_proportions"
 
 
-def _means(spark, sf):
-    return abtest.means(_experiment(spark, sf), "experiment", outcome="value")
+def _means(spark, sf, **options):
+    return abtest.means(_experiment(spark, sf), "experiment", outcome="value", **options)
 
 
 QUERIES["ab_means"] = _means
@@ -447,19 +477,21 @@ def _assumptions(spark, sf):
 
 
 QUERIES["ab_report"] = lambda spark, sf: abtest.report(
-    abtest.as_result(_proportions(spark, sf), "Z-test (proportions)", "rate-").unionByName(
-        abtest.as_result(_means(spark, sf), "T-test (means)", "value-")
+    abtest.as_result(_proportions(spark, sf, exact=True), "Z-test (proportions)", "rate-").unionByName(
+        abtest.as_result(_means(spark, sf, exact=True), "T-test (means)", "value-")
     ),
     _assumptions(spark, sf),
 )
 SQL["ab_report"] = f"""
-SELECT r.*, {ob.rnd('(treatment_value - control_value) * factor * periods', 2)} AS annual_impact
+SELECT r.* EXCLUDE (d), {ob.rnd('d * factor * periods', 2)} AS annual_impact
 FROM (
-  SELECT 'rate-' || experiment AS experiment, 'Z-test (proportions)' AS method, control_value,
-    treatment_value, relative_lift_pct, p_value, significant FROM x_proportions
+  SELECT 'rate-' || p.experiment AS experiment, 'Z-test (proportions)' AS method, control_value,
+    treatment_value, relative_lift_pct, p_value, significant, m1 - m0 AS d
+  FROM x_proportions p JOIN x_rate_arms a ON p.experiment = a.experiment
   UNION ALL
-  SELECT 'value-' || experiment, 'T-test (means)', control_value, treatment_value,
-    relative_lift_pct, p_value, significant FROM x_means) r
+  SELECT 'value-' || t.experiment, 'T-test (means)', control_value, treatment_value,
+    relative_lift_pct, p_value, significant, m1 - m0
+  FROM x_means t JOIN x_value_arms a ON t.experiment = a.experiment) r
 LEFT JOIN (
   SELECT kind || s AS experiment, factor, periods
   FROM (SELECT o_custkey % 4 AS s, {ob.money_avg('o_totalprice')} AS factor FROM orders GROUP BY 1)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from sparkmart import schemas
 from sparkmart.checks import oracle_base as ob
 from sparkmart.functions import expr
-from sparkmart.operators import clean, dims, dq, facts, profile
-from sparkmart.plans import silver, suite
+from sparkmart.operators import clean, dims, dq, profile
+from sparkmart.plans import silver
 from sparkmart.sources import testviews as tv
 
 QUERIES = {}
@@ -183,12 +183,18 @@ for _query, _entity in {
     QUERIES[_query] = _silver(_entity)
     SQL[_query] = f"SELECT *, '{tv.LOAD_DATE}' AS silver_load_date FROM silver_{_entity}"
 
-QUERIES["staging_loans"] = lambda spark, sf: silver.staging(
-    "loan_applications", tv.clean_entity(spark, sf, "loan_applications")
-)
-SQL["staging_loans"] = (
-    f"SELECT {', '.join(schemas.staged_columns('loan_applications'))} FROM c_loan_applications"
-)
+for _query, _entity in {
+    "staging_customers": "customers",
+    "staging_transactions": "transactions",
+    "staging_loans": "loan_applications",
+    "staging_touches": "marketing_touches",
+    "staging_products": "product_inventory",
+    "staging_events": "events_raw",
+}.items():
+    QUERIES[_query] = (
+        lambda spark, sf, name=_entity: silver.staging(name, tv.clean_entity(spark, sf, name))
+    )
+    SQL[_query] = f"SELECT {ob.STAGED[_entity]} FROM c_{_entity}"
 
 # --- data quality -----------------------------------------------------------------------------
 
@@ -223,70 +229,3 @@ SELECT l_partkey, count(*) AS rows FROM lineitem
 WHERE l_partkey NOT IN (SELECT product_id FROM c_product_inventory WHERE is_active)
 GROUP BY l_partkey
 """
-
-
-def _suite_models(spark, sf):
-    names = ["customers", "transactions", "marketing_touches", "product_inventory"]
-    entity = {name: tv.clean_entity(spark, sf, name) for name in names}
-    touches, customers = entity["marketing_touches"], entity["customers"]
-    return {
-        "dim_customer": dims.customer(customers, tv.AS_OF),
-        "dim_products": dims.product(entity["product_inventory"]),
-        "dim_channel": dims.channel(touches),
-        "fct_transactions": facts.transactions(entity["transactions"], customers),
-        "fct_marketing_spend": facts.marketing_spend(touches, customers),
-    }
-
-
-_SUITE = suite.checks(
-    models=["dim_customer", "dim_products", "dim_channel", "fct_transactions", "fct_marketing_spend"],
-    skip_relationships_to=["dim_campaign"],
-)
-QUERIES["dq_suite"] = lambda spark, sf: dq.run(_suite_models(spark, sf), _SUITE)
-
-_SUITE_SOURCES = {
-    "dim_customer": "c_customers",
-    "dim_products": f"""(SELECT *,
-      CASE WHEN stock_level = 0 THEN 'Out of Stock' WHEN stock_level <= reorder_point
-        THEN 'Low Stock' ELSE 'In Stock' END AS stock_status, 'Low Margin' AS margin_band
-      FROM c_product_inventory WHERE is_active)""",
-    "dim_channel": """(SELECT DISTINCT channel, campaign, md5(channel || '-' || campaign)
-      AS channel_key, CASE WHEN channel IN ('Email', 'Social', 'Digital') THEN 'Digital'
-      WHEN channel = 'Direct Mail' THEN 'Traditional' ELSE 'Other' END AS channel_type
-      FROM c_marketing_touches)""",
-    "fct_transactions": """(SELECT *, amount AS transaction_amount FROM c_transactions
-      WHERE NOT is_amount_outlier AND data_quality_score = 1.0)""",
-    "fct_marketing_spend": """(SELECT *, cost AS touch_cost, md5(channel || '-' || campaign)
-      AS channel_key, md5(campaign || '-' || utm_campaign) AS campaign_key
-      FROM c_marketing_touches WHERE NOT is_cost_outlier AND data_quality_score = 1.0)""",
-}
-
-
-def _suite_sql():
-    parts = []
-    for k in _SUITE:
-        source = _SUITE_SOURCES[k.model]
-        if k.kind == "unique":
-            failures = (
-                f"SELECT count(*) FROM (SELECT {k.column} FROM {source} WHERE {k.column} IS NOT NULL"
-                f" GROUP BY 1 HAVING count(*) > 1)"
-            )
-        elif k.kind == "not_null":
-            failures = f"SELECT count(*) FROM {source} WHERE {k.column} IS NULL"
-        elif k.kind == "accepted_values":
-            listed = ", ".join(f"'{v}'" for v in k.args)
-            failures = f"SELECT count(*) FROM {source} WHERE {k.column} NOT IN ({listed})"
-        else:
-            parent, pk = k.args
-            failures = (
-                f"SELECT count(*) FROM {source} c WHERE c.{k.column} IS NOT NULL AND NOT EXISTS"
-                f" (SELECT 1 FROM {_SUITE_SOURCES[parent]} p WHERE p.{pk} = c.{k.column})"
-            )
-        parts.append(
-            f"SELECT '{k.model}' AS model, '{k.column}' AS column, '{k.kind}' AS \"check\","
-            f" ({failures}) AS failures"
-        )
-    return f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(parts)})"
-
-
-SQL["dq_suite"] = _suite_sql()

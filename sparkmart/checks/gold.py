@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmart.checks import oracle_base as ob
+from sparkmart.functions import expr
 from sparkmart.operators import attribution, dims, facts, journey, marts, roi, sessions
 from sparkmart.sources import testviews as tv
 
@@ -64,9 +65,16 @@ QUERIES["sessions_by_client"] = lambda spark, sf: sessions.assign(
 )
 SQL["sessions_by_client"] = "SELECT * EXCLUDE (visitor) FROM sweb_events"
 QUERIES["sessions_rollup"] = lambda spark, sf: sessions.rollup(
-    sessions.assign(_entity(spark, sf, "events_raw"))
+    sessions.assign(_entity(spark, sf, "events_raw")), load_date=tv.LOAD_DATE
 )
-SQL["sessions_rollup"] = "SELECT * FROM s30_rollup"
+SQL["sessions_rollup"] = "SELECT *, '2024-02-01' AS silver_load_date FROM s30_rollup"
+QUERIES["sessions_separated"] = lambda spark, sf: sessions.assign(
+    _entity(spark, sf, "events_raw"), separator="-"
+)
+SQL["sessions_separated"] = """
+SELECT * EXCLUDE (visitor) REPLACE (visitor || '-' || printf('%04d', session_number) AS true_session_id)
+FROM s30_events
+"""
 QUERIES["sessions_rollup_anonymous"] = lambda spark, sf: sessions.rollup(
     sessions.assign(_entity(spark, sf, "events_raw"), anonymous="keep")
 )
@@ -81,6 +89,7 @@ QUERIES["journey_touchpoints"] = lambda spark, sf: journey.touchpoints(
     _entity(spark, sf, "marketing_touches"),
     _entity(spark, sf, "customers"),
     _six_hour_sessions(spark, sf),
+    load_date=tv.LOAD_DATE,
 )
 _touchpoints = """
 SELECT t.*, {extra} s.true_session_id, s.session_start, s.session_end,
@@ -92,7 +101,7 @@ FROM c_marketing_touches t {join} JOIN s6h_rollup s ON t.customer_id = s.custome
   AND date_diff('day', t.touchpoint_date, CAST(s.session_start AS DATE)) <= {lookback}
 """
 SQL["journey_touchpoints"] = _touchpoints.format(
-    extra="c.credit_tier, c.region, c.acquisition_channel,",
+    extra="c.credit_tier, c.region, c.acquisition_channel, '2024-02-01' AS silver_load_date,",
     join="LEFT JOIN c_customers c ON t.customer_id = c.customer_id",
     lookback=30,
 )
@@ -119,9 +128,10 @@ QUERIES["customer_journey"] = lambda spark, sf: journey.customer_360(
     _entity(spark, sf, "customers"),
     _entity(spark, sf, "transactions"),
     _entity(spark, sf, "marketing_touches"),
+    load_date=tv.LOAD_DATE,
 )
 SQL["customer_journey"] = f"""
-SELECT {', '.join('c.' + c for c in journey.CUSTOMER_COLUMNS)}, total_transactions, total_spend,
+SELECT '2024-02-01' AS silver_load_date, {', '.join('c.' + c for c in journey.CUSTOMER_COLUMNS)}, total_transactions, total_spend,
   avg_transaction_amount, most_used_product, total_touches, total_marketing_cost, avg_touch_cost,
   touch_conversion_rate
 FROM c_customers c
@@ -195,6 +205,16 @@ SELECT DISTINCT md5(coalesce(campaign, '_dbt_utils_surrogate_key_null_') || '-'
 FROM b_marketing_touches
 """
 # The calendar covers the order history.
+QUERIES["date_spine"] = lambda spark, sf: dims.date_spine(spark, "1995-01-01", "2002-01-01").join(
+    tv.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date_day")).distinct(),
+    "date_day", "left_anti",
+)
+# Days of the spine on which nothing was ordered.
+SQL["date_spine"] = """
+SELECT date_day FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31',
+  INTERVAL 1 DAY)) AS DATE) AS date_day)
+WHERE date_day NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)
+"""
 QUERIES["dim_date"] = lambda spark, sf: dims.date(
     dims.spine_over(tv.table(spark, sf, "orders"), "o_orderdate")
 )
@@ -283,17 +303,34 @@ SQL["fct_marketing_spend"] = "SELECT * FROM f_spend"
 # --- marts ------------------------------------------------------------------------------------
 
 QUERIES["mart_channel_performance"] = lambda spark, sf: marts.channel_performance(_spend(spark, sf))
-SQL["mart_channel_performance"] = f"""
+_PERFORMANCE = f"""
 SELECT channel, campaign, utm_source, utm_campaign, credit_tier, region,
   count(touch_id) AS total_touches, {ob.money('touch_cost')} AS total_spend,
   {ob.money_avg('touch_cost')} AS avg_cost_per_touch,
   {ob.total('is_converted')} AS total_conversions,
   {ob.rnd('avg(is_converted) * 100', 2)} AS conversion_rate_pct,
-  {ob.rnd(ob.money('touch_cost') + ' / nullif(sum(is_converted), 0)', 2)} AS cost_per_conversion,
+  {ob.rnd(ob.exact('touch_cost') + ' / nullif(sum(is_converted), 0)', 2)} AS cost_per_conversion,
   {ob.money('converted_spend')} AS converted_spend,
   {ob.money('unconverted_spend')} AS unconverted_spend
-FROM f_spend GROUP BY ALL
+FROM {{spend}} GROUP BY ALL
+"""
+SQL["mart_channel_performance"] = _PERFORMANCE.format(spend="f_spend")
+
+
+def _subcent(spend):
+    """Costs a thousandth as large: most addends are below a cent, as for single impressions."""
+    amounts = [c for c in ("touch_cost", "converted_spend", "unconverted_spend") if c in spend.columns]
+    return spend.withColumns({c: F.col(c) / 1000 for c in amounts})
+
+
+ob.CTE["f_subcent"] = """
+SELECT * REPLACE (touch_cost / 1000 AS touch_cost, converted_spend / 1000 AS converted_spend,
+  unconverted_spend / 1000 AS unconverted_spend) FROM f_spend
 """
+QUERIES["channel_performance_subcent"] = lambda spark, sf: marts.channel_performance(
+    _subcent(_spend(spark, sf))
+)
+SQL["channel_performance_subcent"] = _PERFORMANCE.format(spend="f_subcent")
 
 
 def _clean_transactions(spark, sf):
@@ -307,14 +344,14 @@ SQL["mart_cohort_analysis"] = f"""
 SELECT cohort_month, credit_tier, region, acquisition_channel,
   CAST(months AS INTEGER) AS months_since_signup,
   count(DISTINCT customer_id) AS active_customers, {ob.total('n')} AS total_transactions,
-  CAST(sum(spend) AS DOUBLE) AS total_spend,
+  CAST(round(sum(spend), 2) AS DOUBLE) AS total_spend,
   {ob.rnd('CAST(sum(spend) AS DOUBLE) / count(spend)', 2)} AS avg_spend_per_customer
 FROM (
   SELECT strftime(c.signup_date, '%Y-%m') AS cohort_month, c.customer_id, credit_tier, region,
     acquisition_channel, n, spend, date_diff('month', date_trunc('month', c.signup_date), m) AS months
   FROM c_customers c LEFT JOIN (
     SELECT customer_id, date_trunc('month', transaction_date) AS m, count(transaction_id) AS n,
-      sum(CAST(transaction_amount AS DECIMAL(18,2))) AS spend
+      sum(CAST(transaction_amount AS DECIMAL(38,10))) AS spend
     FROM f_transactions WHERE status = 'Completed' GROUP BY ALL) a ON c.customer_id = a.customer_id
 ) WHERE months >= 0 GROUP BY ALL
 """
@@ -332,7 +369,7 @@ SELECT credit_tier, approval_status, purpose, loan_term_months,
   {ob.money_avg('requested_amount')} AS avg_requested_amount,
   {ob.money_avg('loan_amount')} AS avg_approved_amount,
   {ob.money('loan_amount')} AS total_loan_portfolio,
-  {ob.money_avg('interest_rate', scale=4)} AS avg_interest_rate,
+  {ob.money_avg('interest_rate')} AS avg_interest_rate,
   {ob.money_avg('annual_interest_amount')} AS avg_annual_interest,
   {ob.money_avg('amount_gap')} AS avg_amount_gap,
   {ob.rnd('avg(credit_score)', 2)} AS avg_credit_score,
@@ -427,6 +464,38 @@ for _model in attribution.MODELS:
     )
     SQL[f"attribution_{_model}"] = f"SELECT * FROM a_{_model}"
 
+    QUERIES[f"attribution_table_{_model}"] = (
+        lambda spark, sf, model=_model: attribution.of_model(
+            attribution.credits(_touch_facts(spark, sf)), model
+        )
+    )
+    SQL[f"attribution_table_{_model}"] = f"SELECT * FROM a_{_model}"
+
+# Shares as they are, to nine digits after summing.
+QUERIES["attribution_exact_credits"] = lambda spark, sf: attribution.channel_credits(
+    _touch_facts(spark, sf), digits=None
+).select("attribution_model", "channel", "total_touches", expr.rnd("credit", 6).alias("credit"))
+ob.CTE["a_totals"] = """
+SELECT customer_id, count(*) AS n, sum(is_converted) AS c FROM f_spend GROUP BY customer_id
+"""
+SQL["attribution_exact_credits"] = f"""
+SELECT 'linear' AS attribution_model, channel, count(*) AS total_touches,
+  {ob.rnd('sum(CASE WHEN c > 0 THEN 1.0::DOUBLE / n ELSE 0 END)', 6)} AS credit
+FROM f_spend f JOIN a_totals s ON f.customer_id = s.customer_id GROUP BY channel
+UNION ALL
+SELECT 'time_decay', channel, count(*),
+  {ob.rnd('sum(CASE WHEN t > 0 THEN w / t ELSE 0 END)', 6)}
+FROM (SELECT *, sum(w) {_BY} AS t FROM a_decay_weights) GROUP BY channel
+UNION ALL
+SELECT 'position_based', channel, count(*), {ob.rnd('''sum(CASE WHEN c = 0 THEN 0.0::DOUBLE
+  WHEN n = 1 THEN 1 WHEN n = 2 THEN 0.5 WHEN p = 1 OR p = n THEN 0.4 ELSE 0.2::DOUBLE / (n - 2) END)''', 6)}
+FROM (SELECT channel, sum(is_converted) {_BY} AS c, count(*) {_BY} AS n, row_number() OVER
+  (PARTITION BY customer_id ORDER BY touchpoint_date, touch_id) AS p FROM f_spend) GROUP BY channel
+UNION ALL
+SELECT attribution_model, channel, count(*), {ob.rnd('sum(attribution_credit)', 6)}
+FROM a_all WHERE attribution_model LIKE '%_click' GROUP BY 1, 2
+"""
+
 _STACK = (
     "channel, campaign, touch_cost, attribution_credit, attributed_conversions, attribution_model"
 )
@@ -442,7 +511,7 @@ SQL["attribution_all_models"] = "SELECT * FROM a_all"
 QUERIES["attribution_comparison"] = lambda spark, sf: attribution.compare(_touch_facts(spark, sf))
 ob.CTE["a_summary"] = f"""
 SELECT attribution_model, channel, count(*) AS total_touches, {ob.money('touch_cost')} AS spend,
-  {ob.rnd(ob.money('attributed_conversions', 6), 2)} AS credit
+  {ob.rnd(ob.exact('attributed_conversions'), 2)} AS credit
 FROM a_all GROUP BY attribution_model, channel
 """
 ob.CTE["a_shares"] = """
@@ -484,15 +553,18 @@ FROM a_comparison WHERE attribution_model = 'linear'
 # --- ROI and retention ------------------------------------------------------------------------
 
 QUERIES["roi_channel_cac"] = lambda spark, sf: roi.channel_cac(_touch_facts(spark, sf))
-ob.CTE["r_cac"] = f"""
+_CAC = f"""
 SELECT channel, count(DISTINCT customer_id) AS total_customers_touched,
   {ob.total('is_converted')} AS conversions, {ob.money('touch_cost')} AS total_spend,
-  {ob.rnd(ob.money('CASE WHEN is_converted = 1 THEN touch_cost ELSE 0 END') + ' / nullif(sum(is_converted), 0)', 2)}
+  {ob.rnd(ob.exact('CASE WHEN is_converted = 1 THEN touch_cost ELSE 0 END') + ' / nullif(sum(is_converted), 0)', 2)}
     AS last_click_cac,
-  {ob.rnd(ob.money('touch_cost') + ' / nullif(sum(is_converted), 0)', 2)} AS blended_cac,
+  {ob.rnd(ob.exact('touch_cost') + ' / nullif(sum(is_converted), 0)', 2)} AS blended_cac,
   {ob.rnd('avg(is_converted) * 100', 2)} AS conversion_rate_pct
-FROM f_spend GROUP BY channel
+FROM {{spend}} GROUP BY channel
 """
+ob.CTE["r_cac"] = _CAC.format(spend="f_spend")
+QUERIES["roi_subcent"] = lambda spark, sf: roi.channel_cac(_subcent(_touch_facts(spark, sf)))
+SQL["roi_subcent"] = _CAC.format(spend="f_subcent")
 SQL["roi_channel_cac"] = "SELECT * FROM r_cac"
 QUERIES["roi_cac_gap"] = lambda spark, sf: roi.cac_gap(_touch_facts(spark, sf))
 SQL["roi_cac_gap"] = f"""

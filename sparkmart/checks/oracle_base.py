@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import re
-
-from sparkmart import schemas
-from sparkmart.plans.silver import RECIPES
+from types import SimpleNamespace
 
 
 def rnd(e: str, digits: int) -> str:
@@ -13,12 +11,18 @@ def rnd(e: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
-def money(e: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({e} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def exact(e: str) -> str:
+    """Sum on a wide decimal, not rounded."""
+    return f"CAST(sum(CAST({e} AS DECIMAL(38,10))) AS DOUBLE)"
+
 
+def money(e: str, digits: int = 2) -> str:
+    """The sum of the amounts as they are, rounded once."""
+    return f"CAST(round(sum(CAST({e} AS DECIMAL(38,10))), {digits}) AS DOUBLE)"
 
-def money_avg(e: str, digits: int = 2, scale: int = 2) -> str:
-    return rnd(f"{money(e, scale)} / nullif(count({e}), 0)", digits)
+
+def money_avg(e: str, digits: int = 2) -> str:
+    return rnd(f"{exact(e)} / nullif(count({e}), 0)", digits)
 
 
 def total(e: str) -> str:
@@ -168,6 +172,84 @@ DIRT = {
 }
 
 
+# What cleaning does to each entity, written out a second time, so that a change of
+# the code's recipes shows.
+def _expected(key, columns, title="", lower="", dates="", timestamps="", mean="", remap=None, fill=None,
+              flags=None, bots=False):
+    return SimpleNamespace(
+        key=key, columns=columns.split(), title=title.split(), lower=lower.split(), dates=dates.split(),
+        timestamps=timestamps.split(), fill_mean=mean.split(), mapping=remap or {}, fill=fill or {},
+        flags=flags or [], bots=bots,
+    )
+
+
+EXPECTED = {
+    "customers": _expected(
+        "customer_id",
+        "customer_id first_name last_name email date_of_birth gender region "
+        "acquisition_channel signup_date credit_tier credit_score annual_income is_active ",
+        title="gender region acquisition_channel credit_tier",
+        dates="signup_date date_of_birth",
+        mean="annual_income",
+        remap={"acquisition_channel": {"Direct": "Direct Mail"}},
+        fill={"email": "unknown@unknown.com", "gender": "Unknown"},
+        flags=[("annual_income", "is_income_outlier", "0.2")],
+    ),
+    "transactions": _expected(
+        "transaction_id",
+        "transaction_id customer_id amount product_type status timestamp merchant_category ",
+        title="product_type status merchant_category",
+        timestamps="timestamp",
+        fill={"status": "Unknown", "merchant_category": "Unknown"},
+        flags=[("amount", "is_amount_outlier", "0.2")],
+    ),
+    "loan_applications": _expected(
+        "application_id",
+        "application_id customer_id application_date requested_amount approval_status "
+        "loan_amount interest_rate loan_term_months default_flag purpose ",
+        title="approval_status purpose",
+        dates="application_date",
+        fill={"purpose": "Unknown"},
+        flags=[("requested_amount", "is_requested_amount_outlier", "0.1"), ("loan_amount", "is_loan_amount_outlier", "0.1")],
+    ),
+    "marketing_touches": _expected(
+        "touch_id",
+        "touch_id customer_id channel campaign touchpoint_date cost converted utm_source "
+        "utm_campaign ",
+        title="channel",
+        dates="touchpoint_date",
+        remap={"channel": {"Digital": "Referral"}},
+        fill={"cost": 0.0, "utm_source": "unknown", "utm_campaign": "unknown"},
+        flags=[("cost", "is_cost_outlier", "0.2")],
+    ),
+    "product_inventory": _expected(
+        "product_id",
+        "product_id sku product_name category unit_cost selling_price stock_level "
+        "reorder_point reorder_quantity lead_time_days supplier is_active ",
+        mean="selling_price",
+        fill={"supplier": "Unknown"},
+        flags=[("unit_cost", "is_unit_cost_outlier", "0.1"), ("selling_price", "is_selling_price_outlier", "0.1")],
+    ),
+    "events_raw": _expected(
+        "event_id",
+        "event_id session_id customer_id event_type page timestamp device utm_source "
+        "utm_campaign is_bot ",
+        lower="event_type device",
+        timestamps="timestamp",
+        fill={"device": "unknown", "utm_campaign": "unknown"},
+        bots=True,
+    ),
+}
+STAGED = {
+    "customers": ", ".join([*EXPECTED["customers"].columns, "is_income_outlier", "is_duplicate", "data_quality_score"]),
+    "transactions": ", ".join([*EXPECTED["transactions"].columns, "is_amount_outlier", "is_duplicate", "data_quality_score"]),
+    "loan_applications": ", ".join([*EXPECTED["loan_applications"].columns, "is_requested_amount_outlier", "is_loan_amount_outlier", "is_duplicate", "data_quality_score"]),
+    "marketing_touches": ", ".join([*EXPECTED["marketing_touches"].columns, "is_cost_outlier", "is_duplicate", "data_quality_score"]),
+    "product_inventory": ", ".join([*EXPECTED["product_inventory"].columns, "is_unit_cost_outlier", "is_selling_price_outlier", "is_duplicate", "data_quality_score"]),
+    "events_raw": ", ".join([*EXPECTED["events_raw"].columns, "is_duplicate", "data_quality_score"]),
+}
+
+
 def _as_text(c: str, key: str, time: str) -> str:
     return (
         f"CASE WHEN {key} % 10 = 0 THEN strftime({c}, '%Y/%m/%d{time}')"
@@ -180,8 +262,8 @@ def _as_text(c: str, key: str, time: str) -> str:
 def _raw(name: str) -> str:
     key, shouted = DIRT[name]
     changes = {c: f"CASE WHEN {key} % 12 = 0 THEN upper({c}) ELSE {c} END" for c in shouted}
-    changes |= {c: _as_text(c, key, "") for c in RECIPES[name].dates}
-    changes |= {c: _as_text(c, key, " %H:%M:%S") for c in RECIPES[name].timestamps}
+    changes |= {c: _as_text(c, key, "") for c in EXPECTED[name].dates}
+    changes |= {c: _as_text(c, key, " %H:%M:%S") for c in EXPECTED[name].timestamps}
     replace = ", ".join(f"{e} AS {c}" for c, e in changes.items())
     star = f"* REPLACE ({replace})" if replace else "*"
     return (
@@ -201,7 +283,7 @@ def dedup(source: str, keys: list[str], newest: list[str], ties: list[str]) -> s
 
 def _conform(name: str, text_dates: bool) -> str:
     """SELECT list that normalises casing, dates and constant fills."""
-    r = RECIPES[name]
+    r = EXPECTED[name]
     out: dict[str, str] = {}
     for c in r.title:
         out[c] = title(c)
@@ -222,9 +304,9 @@ def _conform(name: str, text_dates: bool) -> str:
 
 def _refine(name: str, prefix: str, source: str, text_dates: bool, unique: bool) -> None:
     """Add the CTE chain ``<prefix>_<entity>_1..4`` and ``<prefix>_<entity>``."""
-    r = RECIPES[name]
+    r = EXPECTED[name]
     base = f"{prefix}_{name}"
-    columns = schemas.raw_columns(name)
+    columns = r.columns
     if unique:
         CTE[f"{base}_1"] = f"SELECT * FROM {source}"
     else:
@@ -239,16 +321,16 @@ def _refine(name: str, prefix: str, source: str, text_dates: bool, unique: bool)
     CTE[f"{base}_3"] = f"SELECT {star} FROM {base}_2"
     flags = "".join(
         f", coalesce({c} > (SELECT avg({c}) + 3 * stddev_samp({c}) FROM {base}_3), false) AS {flag}"
-        for c, flag in r.outliers.items()
+        for c, flag, _ in r.flags
     )
     CTE[f"{base}_4"] = f"SELECT *{flags}, false AS is_duplicate FROM {base}_3"
     score = "1.0" + "".join(
-        f" - CASE WHEN {flag} THEN {penalty} ELSE 0.0 END" for flag, penalty in r.penalties.items()
+        f" - CASE WHEN {flag} THEN {penalty} ELSE 0.0 END" for _, flag, penalty in r.flags
     )
     CTE[base] = f"SELECT *, CAST({score} AS DOUBLE) AS data_quality_score FROM {base}_4"
 
 
-for _name in RECIPES:
+for _name in EXPECTED:
     CTE[f"raw_{_name}"] = _raw(_name)
     _refine(_name, "silver", f"raw_{_name}", text_dates=True, unique=False)
     _refine(

@@ -2,8 +2,8 @@
 
 Two conventions keep results identical between runs, cluster sizes and engines:
 
-* money is summed as ``decimal`` (exact, so independent of partial-aggregation order) and
-  returned as ``double``;
+* money is summed as ``decimal`` with eight digits (exact, so independent of partial-aggregation
+  order, and no cents are lost on the way), rounded once, and returned as ``double``;
 * ``rnd`` rounds half up on the decimal form of a double, so float noise such as
   ``100.49999999999999`` cannot move a result by one unit.
 """
@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 ColumnLike = Column | str
 
+MONEY = "decimal(28,8)"
+
 # Fixed value: what a NULL contributes to a surrogate key.
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
 
@@ -63,6 +65,7 @@ def rank_map(c: ColumnLike, ranks: dict[object, int], default: int) -> Column:
 
 
 def rnd(c: ColumnLike, digits: int) -> Column:
+    """Half-up rounding on the decimal form. NaN becomes NULL; 28 integer digits are the limit."""
     return F.round(as_col(c).cast("decimal(38,10)"), digits).cast("double")
 
 
@@ -74,17 +77,21 @@ def ratio(num: ColumnLike, den: ColumnLike, scale: float = 1.0, digits: int | No
     return out if digits is None else rnd(out, digits)
 
 
-def money_total(c: ColumnLike, scale: int = 2) -> Column:
-    """Exact decimal sum, for sums that are aggregated again."""
-    return F.sum(as_col(c).cast(f"decimal(18,{scale})"))
+def money_total(c: ColumnLike) -> Column:
+    """Exact decimal sum with eight digits, for sums that are aggregated again or divided.
+
+    NaN is an unknown amount, ignored like NULL.
+    """
+    return F.sum(as_col(c).cast(MONEY))
 
 
-def money_sum(c: ColumnLike, scale: int = 2) -> Column:
-    return money_total(c, scale).cast("double")
+def money_sum(c: ColumnLike, digits: int = 2) -> Column:
+    """Sum of the amounts as they are, rounded once."""
+    return F.round(money_total(c), digits).cast("double")
 
 
-def money_avg(c: ColumnLike, digits: int = 2, scale: int = 2) -> Column:
-    return ratio(money_total(c, scale), F.count(as_col(c)), digits=digits)
+def money_avg(c: ColumnLike, digits: int = 2) -> Column:
+    return ratio(money_total(c), F.count(as_col(c).cast(MONEY)), digits=digits)
 
 
 def sum_if(value: ColumnLike, cond: Column) -> Column:
@@ -115,9 +122,16 @@ def parse_date(c: ColumnLike, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 
 def parse_ts(c: ColumnLike, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Wall-clock timestamp; the same in every session time zone without daylight saving."""
-    parsed = F.coalesce(*[F.try_to_timestamp(as_col(c), F.lit(f)) for f in formats])
-    return parsed.cast("timestamp_ntz")
+    """Wall-clock timestamp, the same in every session time zone.
+
+    Texts are read as UTC and counted from the epoch, so that no zone's clock changes take part.
+    """
+    text = F.concat(as_col(c), F.lit(" +0000"))
+    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f"{f} xx")) for f in formats])
+    micros = F.unix_micros(parsed)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (micros / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def epoch_seconds(df: DataFrame, column: str) -> Column:

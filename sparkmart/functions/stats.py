@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from math import lgamma
+from math import erfc, lgamma, sqrt
 from statistics import NormalDist
 
 import numpy as np
@@ -79,8 +79,8 @@ def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             step = d * c
             value = value * step
         if np.all(np.abs(step - 1) < 1e-15):
-            break
-    return front * value
+            return front * value
+    raise ArithmeticError("the continued fraction did not settle")
 
 
 def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
@@ -89,6 +89,10 @@ def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     out = np.full(t.shape, np.nan)
     out[(t == 0) & (df > 0)] = 1.0
     live = np.isfinite(t) & np.isfinite(df) & (df > 0) & (t > 0)
+    # With so many degrees of freedom differences of log-gammas lose more than the normal tail does.
+    normal = live & (df > 1e7)
+    out[normal] = [erfc(v / sqrt(2)) for v in t[normal]]
+    live &= ~normal
     a, half = df / 2, np.full(t.shape, 0.5)
     x = df / (df + t * t)
     direct = live & (x < (a + 1) / (a + 2.5))

@@ -50,8 +50,9 @@ def proportions(
     control: object = "control",
     treatment: object = "treatment",
     alpha: float = 0.05,
+    exact: bool = False,
 ) -> DataFrame:
-    """Two-proportion z-test per experiment.
+    """Two-proportion z-test per experiment; ``exact`` adds the difference as it is, not rounded.
 
     The statistic uses the pooled standard error, the confidence interval the unpooled one. Without
     any variation (all successes or none) the statistic is NULL.
@@ -80,10 +81,15 @@ def proportions(
             F.when(both, expr.rnd(p1 - p0 - margin, 6)).alias("ci_low"),
             F.when(both, expr.rnd(p1 - p0 + margin, 6)).alias("ci_high"),
             (F.col("_p") < alpha).alias("significant"),
+            *_exact(p1 - p0, exact),
         )
     )
 
 
+def _exact(difference: Column, wanted: bool) -> list[Column]:
+    return [difference.alias("exact_difference")] if wanted else []
+
+
 def means(
     df: DataFrame,
     by: str,
@@ -92,6 +98,7 @@ def means(
     control: object = "control",
     treatment: object = "treatment",
     alpha: float = 0.05,
+    exact: bool = False,
 ) -> DataFrame:
     """Welch's t-test per experiment, with a normal confidence interval for the difference."""
     m0, m1 = F.col("m_control"), F.col("m_treatment")
@@ -122,6 +129,7 @@ def means(
             expr.rnd(m1 - m0 - margin, 4).alias("ci_low"),
             expr.rnd(m1 - m0 + margin, 4).alias("ci_high"),
             (F.col("_p") < alpha).alias("significant"),
+            *_exact(m1 - m0, exact),
         )
     )
 
@@ -166,17 +174,24 @@ def required_n(
 
 
 def as_result(test: DataFrame, method: str, prefix: str = "") -> DataFrame:
-    """A test's rows in the layout shared by all methods."""
+    """A test's rows in the layout shared by all methods, with the exact difference if it has one."""
     named = F.concat(F.lit(prefix), F.col("experiment").cast("string"))
-    return test.withColumns({"experiment": named, "method": F.lit(method)}).select(*RESULT_COLUMNS)
+    rounded = F.col("treatment_value") - F.col("control_value")
+    exact = F.col("exact_difference") if "exact_difference" in test.columns else rounded
+    return test.withColumns(
+        {"experiment": named, "method": F.lit(method), "exact_difference": exact}
+    ).select(*RESULT_COLUMNS, "exact_difference")
 
 
 def report(results: DataFrame, assumptions: DataFrame) -> DataFrame:
     """Add the yearly effect: difference between the arms times value factor times periods.
 
-    ``assumptions`` has one row per experiment: ``experiment, factor, periods``.
+    ``assumptions`` has one row per experiment: ``experiment, factor, periods``. The effect uses the
+    tests' exact differences (``exact=True``); without them those of the rounded arms.
     """
     difference = F.col("treatment_value") - F.col("control_value")
+    if "exact_difference" in results.columns:
+        difference = F.coalesce("exact_difference", difference)
     impact = expr.rnd(difference * F.col("factor") * F.col("periods"), 2)
     return results.join(assumptions, "experiment", "left").select(
         *RESULT_COLUMNS, impact.alias("annual_impact")

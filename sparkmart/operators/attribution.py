@@ -1,10 +1,13 @@
 """Five attribution models, their comparison, pivot and budget signals.
 
+Shares are rounded to six digits unless ``digits=None``: a share of a customer with millions of
+touches would round to 0.
+
 Input is one row per marketing touch: ``touch_id, customer_id, channel, campaign,
 touchpoint_date, touch_cost, is_converted``.
 
 A customer's touches are never gathered in one task. They are first reduced to cells (customer and
-day, for positions also id range); everything a model needs to know about a customer is a window
+day, for positions also a slice of large days); everything a model needs to know about a customer is a window
 over these cells, and the touch-level models join it back on the cell key, which spreads a hot
 customer over its days. The comparison works on cells alone and joins nothing.
 """
@@ -41,6 +44,8 @@ def _with_customer_totals(cells: DataFrame, customer: str, half_life_days: float
     """
     by_customer = Window.partitionBy(customer)
     converted_day = F.when(F.col("_conversions") > 0, F.col(_DAY))
+    # Decimal: the sum does not depend on the order in which cells arrive.
+    weight = (F.col("_n") * F.col("_weight")).cast("decimal(38,18)")
     return (
         cells.withColumns(
             {
@@ -53,7 +58,7 @@ def _with_customer_totals(cells: DataFrame, customer: str, half_life_days: float
         )
         .withColumn("days_before_conversion", F.datediff("_conversion_day", _DAY))
         .withColumn("_weight", _decay_weight(half_life_days))
-        .withColumn("_total_weight", F.sum(F.col("_n") * F.col("_weight")).over(by_customer))
+        .withColumn("_total_weight", F.sum(weight).over(by_customer).cast("double"))
     )
 
 
@@ -65,20 +70,24 @@ def _decay_weight(half_life_days: float) -> Column:
     )
 
 
-def _linear_credit() -> Column:
-    share = expr.rnd(F.lit(1.0) / F.col("total_touches"), 6)
+def _rounded(share: Column, digits: int | None) -> Column:
+    return share if digits is None else expr.rnd(share, digits)
+
+
+def _linear_credit(digits: int | None) -> Column:
+    share = _rounded(F.lit(1.0) / F.nullif(F.col("total_touches"), F.lit(0)), digits)
     return F.when(F.col("_total_conversions") > 0, share).otherwise(F.lit(0.0))
 
 
-def _decay_credit() -> Column:
-    share = expr.rnd(F.col("_weight") / F.col("_total_weight"), 6)
+def _decay_credit(digits: int | None) -> Column:
+    share = _rounded(F.col("_weight") / F.nullif(F.col("_total_weight"), F.lit(0.0)), digits)
     return F.when(F.col("_total_weight") > 0, share).otherwise(F.lit(0.0))
 
 
-def _middle_credit(first: float, last: float) -> Column:
+def _middle_credit(first: float, last: float, digits: int | None) -> Column:
     """Credit of one touch that is neither first nor last."""
     rest = F.lit(round(1.0 - first - last, 10))
-    return expr.rnd(rest / F.nullif(F.col("total_touches") - 2, F.lit(0)), 6)
+    return _rounded(rest / F.nullif(F.col("total_touches") - 2, F.lit(0)), digits)
 
 
 # Cell key of a touch. It is never NULL, so one partitioning serves the aggregate, the join and
@@ -88,13 +97,15 @@ _CELL = ["_customer", "_day", "_range"]
 
 def _keyed(touches: DataFrame, ranked: bool) -> DataFrame:
     customer = F.concat(F.lit("c"), F.col("customer_id").cast("string"))
-    return touches.select(*TOUCH_COLUMNS).withColumns(
+    rows = touches.select(*TOUCH_COLUMNS).withColumns(
         {
             "_customer": F.coalesce(customer, F.lit("")),
             "_day": F.coalesce(F.col(_DAY), F.lit("0001-01-01").cast("date")),
-            "_range": skew.id_range(touches, "touch_id") if ranked else F.lit(0),
         }
     )
+    if not ranked:
+        return rows.withColumn("_range", F.lit(0))
+    return skew.add_slices(rows, ["_customer", "_day"], "touch_id", "_range")
 
 
 def _touch_cells(rows: DataFrame, half_life_days: float) -> DataFrame:
@@ -142,7 +153,7 @@ def _is_last() -> Column:
     return F.col("touch_id") == F.col("_last_id")
 
 
-def _position_credit(first: float, last: float) -> Column:
+def _position_credit(first: float, last: float, digits: int | None) -> Column:
     n = F.col("total_touches")
     return (
         F.when(F.col("_total_conversions") == 0, F.lit(0.0))
@@ -150,18 +161,20 @@ def _position_credit(first: float, last: float) -> Column:
         .when(n == 2, F.lit(0.5))
         .when(_is_first(), F.lit(first))
         .when(_is_last(), F.lit(last))
-        .otherwise(_middle_credit(first, last))
+        .otherwise(_middle_credit(first, last, digits))
     )
 
 
-def _credit(model: str, first: float = 0.4, last: float = 0.4) -> Column:
+def _credit(
+    model: str, first: float = 0.4, last: float = 0.4, digits: int | None = 6
+) -> Column:
     """Credit of a touch under a model, from the columns of ``_touches_with_totals``."""
     credit = {
         "first_click": lambda: expr.flag01(_is_first() & (F.col("_total_conversions") > 0)),
         "last_click": lambda: expr.flag01(_is_last() & (F.col("is_converted") == 1)),
-        "linear": _linear_credit,
-        "time_decay": _decay_credit,
-        "position_based": lambda: _position_credit(first, last),
+        "linear": lambda: _linear_credit(digits),
+        "time_decay": lambda: _decay_credit(digits),
+        "position_based": lambda: _position_credit(first, last, digits),
     }[model]()
     return credit.cast("double")
 
@@ -171,9 +184,9 @@ def _known(touches: DataFrame) -> DataFrame:
 
 
 def _credited(
-    rows: DataFrame, model: str, extra: Sequence[str | Column] = (), **shares: float
+    rows: DataFrame, model: str, extra: Sequence[str | Column] = (), **options
 ) -> DataFrame:
-    credit = _credit(model, **shares)
+    credit = _credit(model, **options)
     return rows.select(
         *TOUCH_COLUMNS,
         *extra,
@@ -193,26 +206,68 @@ def last_click(touches: DataFrame) -> DataFrame:
     return _credited(_touches_with_totals(touches), "last_click")
 
 
-def linear(touches: DataFrame) -> DataFrame:
+def linear(touches: DataFrame, digits: int | None = 6) -> DataFrame:
     """Every touch of a converting customer gets the same share."""
-    return _credited(_touches_with_totals(_known(touches)), "linear")
+    return _credited(_touches_with_totals(_known(touches)), "linear", digits=digits)
 
 
-def time_decay(touches: DataFrame, half_life_days: float = 7.0) -> DataFrame:
+def time_decay(
+    touches: DataFrame, half_life_days: float = 7.0, digits: int | None = 6
+) -> DataFrame:
     """Shares halve every ``half_life_days`` before the first conversion."""
     rows = _touches_with_totals(_known(touches), half_life_days)
-    return _credited(rows, "time_decay", ["days_before_conversion"])
+    return _credited(rows, "time_decay", ["days_before_conversion"], digits=digits)
 
 
-def position_based(touches: DataFrame, first: float = 0.4, last: float = 0.4) -> DataFrame:
-    """Fixed shares for the first and last touch, the rest split over the touches between."""
+def _positions(rows: DataFrame) -> DataFrame:
     in_cell = Window.partitionBy(*_CELL).orderBy("touch_id")
-    rows = _touches_with_totals(_known(touches), ranked=True).withColumn(
-        "touch_position", F.col("_before") + F.row_number().over(in_cell)
-    )
+    return rows.withColumn("touch_position", F.col("_before") + F.row_number().over(in_cell))
+
+
+def _position_label() -> Column:
     label = expr.cases([(_is_first(), "first"), (_is_last(), "last")], "middle")
-    extra = ["total_touches", "touch_position", label.alias("touch_position_label")]
-    return _credited(rows, "position_based", extra, first=first, last=last)
+    return label.alias("touch_position_label")
+
+
+def position_based(
+    touches: DataFrame, first: float = 0.4, last: float = 0.4, digits: int | None = 6
+) -> DataFrame:
+    """Fixed shares for the first and last touch, the rest split over the touches between."""
+    rows = _positions(_touches_with_totals(_known(touches), ranked=True))
+    extra = ["total_touches", "touch_position", _position_label()]
+    return _credited(rows, "position_based", extra, first=first, last=last, digits=digits)
+
+
+# Columns that a model's own table has beside those of all models.
+MODEL_COLUMNS = {
+    "time_decay": ["days_before_conversion"],
+    "position_based": ["total_touches", "touch_position", "touch_position_label"],
+}
+
+
+def credits(touches: DataFrame, digits: int | None = 6) -> DataFrame:
+    """Every touch with its credit under each model (NULL where a model leaves it out) and the
+    columns of the models' own tables: five tables from one pass over the touches."""
+    rows = _positions(_touches_with_totals(touches, ranked=True))
+    known = F.col("customer_id").isNotNull()
+    amounts = []
+    for model in MODELS:
+        credit = _credit(model, digits=digits)
+        amounts.append(F.when(known, credit).alias(model) if model in KNOWN_CUSTOMER_ONLY else credit.alias(model))
+    own = ["days_before_conversion", "total_touches", "touch_position", _position_label()]
+    return rows.select(*TOUCH_COLUMNS, *own, *amounts)
+
+
+def of_model(credited: DataFrame, model: str) -> DataFrame:
+    """The table of one model, a projection of ``credits``."""
+    credit = F.col(model)
+    return credited.where(credit.isNotNull()).select(
+        *TOUCH_COLUMNS,
+        *MODEL_COLUMNS.get(model, []),
+        credit.alias("attribution_credit"),
+        credit.alias("attributed_conversions"),
+        F.lit(model).alias("attribution_model"),
+    )
 
 
 STACK_COLUMNS = [
@@ -249,7 +304,11 @@ def all_models(touches: DataFrame, models: Sequence[str] = tuple(MODELS)) -> Dat
 
 
 def channel_credits(
-    touches: DataFrame, half_life_days: float = 7.0, first: float = 0.4, last: float = 0.4
+    touches: DataFrame,
+    half_life_days: float = 7.0,
+    first: float = 0.4,
+    last: float = 0.4,
+    digits: int | None = 6,
 ) -> DataFrame:
     """Touches, spend and credit per model and channel, without a row per touch and model.
 
@@ -286,20 +345,20 @@ def channel_credits(
     position = (
         F.when(~converting, F.lit(0.0))
         .when(total <= 2, n / total)
-        .otherwise(ends + between * _middle_credit(first, last))
+        .otherwise(ends + between * _middle_credit(first, last, digits))
     )
     credits = {
         "last_click": expr.flag01(has_last & (F.col("_last_touch.converted") == 1)),
         "first_click": expr.flag01(has_first & converting),
-        "linear": n * _linear_credit(),
-        "time_decay": n * _decay_credit(),
+        "linear": n * _linear_credit(digits),
+        "time_decay": n * _decay_credit(digits),
         "position_based": position,
     }
     known = F.col("customer_id").isNotNull()
     aggregates = []
     for model in MODELS:
         counted = known if model in KNOWN_CUSTOMER_ONLY else F.lit(True)
-        credit = credits[model].cast("decimal(18,6)")
+        credit = credits[model].cast("decimal(28,6)" if digits == 6 else "decimal(38,18)")
         aggregates.append(
             F.struct(
                 F.lit(model).alias("attribution_model"),

@@ -90,21 +90,59 @@ def _check_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return out
 
 
+def _foreign_keys(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """(model, label, key, rows): how often each foreign key occurs, for all keys in one pass."""
+    pairs = F.array(
+        *[F.struct(F.lit(_label(k)).alias("label"), F.col(k.column).cast("string").alias("key")) for k in checks]
+    )
+    return (
+        df.select(F.inline(pairs))
+        .where(F.col("key").isNotNull())
+        .groupBy("label", "key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(model).alias("model"), "label", "key", "rows")
+    )
+
+
+def _constants(like: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(model, label) of the checks, so that those without any key are reported too."""
+    rows = F.array(*[F.struct(F.lit(k.model).alias("model"), F.lit(_label(k)).alias("label")) for k in checks])
+    return like.sparkSession.range(1).select(F.inline(rows))
+
+
 def run(models: Mapping[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
     """(model, column, check, failures, passed): one row per declared check.
 
-    ``failures`` counts repeated values for ``unique`` and failing rows for the other kinds.
+    ``failures`` counts repeated values for ``unique`` and failing rows for the other kinds. A model
+    is read once for its row checks and once for all of its foreign keys; a parent is read once for
+    all keys that point to it. Over tables that is all; over lazy frames, each reading builds them.
     """
     parts = []
+    links: dict[tuple[str, str], list[DataFrame]] = {}
     for name in dict.fromkeys(k.model for k in suite):
         own = [k for k in suite if k.model == name]
         local = [k for k in own if k.kind != "relationships"]
         if local:
             parts.append(_check_model(models[name], local))
-        for k in own:
-            if k.kind == "relationships":
-                parent, pk = k.args
-                orphans = relationship(models[name], k.column, models[parent], pk)
-                parts.append(_report(orphans.agg(F.sum("rows").alias(_label(k))), name))
+        if keys := [k for k in own if k.kind == "relationships"]:
+            counts = _foreign_keys(models[name], name, keys)
+            for parent in dict.fromkeys(k.args for k in keys):
+                labels = [_label(k) for k in keys if k.args == parent]
+                links.setdefault(parent, []).append(counts.where(F.col("label").isin(labels)))
+    for (parent, pk), counts in links.items():
+        every = reduce(DataFrame.unionByName, counts)
+        known = models[parent].select(F.col(pk).cast("string").alias("key"), F.lit(1).alias("_known"))
+        missing = F.sum(F.when(F.col("_known").isNull(), F.col("rows")).otherwise(F.lit(0)))
+        found = every.join(known.distinct(), "key", "left").groupBy("model", "label").agg(missing.alias("failures"))
+        wanted = [k for k in suite if k.kind == "relationships" and k.args == (parent, pk)]
+        listed = _constants(found, wanted)
+        parts.append(
+            listed.join(found, ["model", "label"], "left").select(
+                "model",
+                F.split("label", "\\|")[0].alias("column"),
+                F.split("label", "\\|")[1].alias("check"),
+                F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
+            )
+        )
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("passed", F.col("failures") == 0)

@@ -72,6 +72,43 @@ def fit_predict(
         .select("series", F.col("_day").alias("ds"), known.alias("y"))
     )
 
+    return _fit(rows, weekly, yearly, interval)
+
+
+def backtest(
+    series: DataFrame,
+    train_end: Column | str,
+    horizon: int = 365,
+    weekly: bool = True,
+    yearly: bool = True,
+    interval: float = 0.8,
+) -> DataFrame:
+    """Days after ``train_end`` next to the forecast of a fit on the days up to it, with errors.
+
+    The same figures as ``evaluate`` of ``split`` and ``fit_predict``, in one pass and without a
+    join: days after the cut stay in the frame, but their counts are hidden from the fit.
+    """
+    cut = F.to_date(F.lit(train_end)) if isinstance(train_end, str) else train_end
+    by_series = Window.partitionBy("series")
+    trained = F.col("ds") <= cut
+    rows = series.select(
+        "series",
+        "ds",
+        F.when(trained, F.col("y").cast("double")).alias("y"),
+        F.col("y").alias("_actual"),
+        F.max(F.when(trained, F.col("ds"))).over(by_series).alias("_last"),
+    )
+    within = F.col("ds") <= F.date_add("_last", horizon)
+    fitted = _fit(rows, weekly, yearly, interval, keep=("_actual", "_last")).where(~trained)
+    figures = [F.when(within, F.col(c)).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")]
+    return _with_errors(fitted.select("series", "ds", F.col("_actual").alias("y"), *figures))
+
+
+def _fit(
+    rows: DataFrame, weekly: bool, yearly: bool, interval: float, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Components and band for every day; days whose ``y`` is NULL take no part in the fit."""
+    by_series = Window.partitionBy("series")
     zero = F.lit(0.0)
     y, x, trend = F.col("y"), F.col("_x").cast("double"), F.col("trend")
     slope = F.coalesce(F.regr_slope(y, x).over(by_series), zero)
@@ -101,6 +138,7 @@ def fit_predict(
             "yhat",
             (F.col("yhat") - F.col("_margin")).alias("yhat_lower"),
             (F.col("yhat") + F.col("_margin")).alias("yhat_upper"),
+            *keep,
         )
     )
 
@@ -108,18 +146,18 @@ def fit_predict(
 def evaluate(actual: DataFrame, forecast: DataFrame) -> DataFrame:
     """Actual days next to their forecast, with errors."""
     predicted = forecast.select("series", "ds", "yhat", "yhat_lower", "yhat_upper")
+    return _with_errors(actual.select("series", "ds", "y").join(predicted, ["series", "ds"], "left"))
+
+
+def _with_errors(rows: DataFrame) -> DataFrame:
     error = F.col("y") - F.col("yhat")
-    return (
-        actual.select("series", "ds", "y")
-        .join(predicted, ["series", "ds"], "left")
-        .withColumns(
-            {
-                "error": error,
-                "abs_error": F.abs(error),
-                "pct_error": expr.ratio(F.abs(error), "y", 100.0),
-                "squared_error": error * error,
-            }
-        )
+    return rows.withColumns(
+        {
+            "error": error,
+            "abs_error": F.abs(error),
+            "pct_error": expr.ratio(F.abs(error), "y", 100.0),
+            "squared_error": error * error,
+        }
     )
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import expr
 from sparkmart.operators import skew
+from sparkmart.sources import io
 
+# The customer columns of the journey table.
 CUSTOMER_COLUMNS = [
     "customer_id", "first_name", "last_name", "email", "gender", "region",
     "acquisition_channel", "signup_date", "credit_tier", "credit_score", "annual_income",
@@ -31,6 +33,7 @@ def interval_join(
     lookback_days: int = 30,
     spread: str = "touch_id",
     hot: DataFrame | None = None,
+    bounded: bool = False,
     share: float = skew.HOT_SHARE,
     salts: int = skew.SALTS,
 ) -> DataFrame:
@@ -39,9 +42,11 @@ def interval_join(
     Days are cut into buckets of the lookback width: a session has one bucket, a touch reaches two,
     so customer and bucket form an equi-key that yields each pair once. A customer has at most one
     session per timeout, which bounds the session rows per key; the touches of ``hot`` customers
-    (found by counting, unless given) are salted on top.
+    (found by counting, unless given) are salted on top; ``bounded`` says that a given list comes
+    from ``skew.hot_keys``. Below that share AQE splits the touch side of the join.
     """
-    hot = skew.hot_keys(touches, "customer_id", share) if hot is None else hot
+    if hot is None:
+        hot, bounded = skew.hot_keys(touches, "customer_id", share), True
     width = max(1, lookback_days)
     day = F.col("touchpoint_date")
     reach = F.array_distinct(
@@ -53,7 +58,8 @@ def interval_join(
     ahead = F.datediff(session_day, day)
     return (
         skew.salted_join(
-            left, right, ["customer_id", "_bucket"], "customer_id", F.col(spread), hot, salts=salts
+            left, right, ["customer_id", "_bucket"], "customer_id", F.col(spread), hot,
+            salts=salts, bounded=bounded,
         )
         .where(ahead.between(0, lookback_days))
         .withColumn("days_before_session", ahead)
@@ -68,6 +74,7 @@ def touchpoints(
     lookback_days: int = 30,
     share: float = skew.HOT_SHARE,
     salts: int = skew.SALTS,
+    load_date: str | None = None,
 ) -> DataFrame:
     """Touches with customer attributes, paired with the sessions that follow them."""
     visits = sessions.select(
@@ -81,7 +88,8 @@ def touchpoints(
     )
     hot = skew.hot_keys(touches, "customer_id", share)
     enriched = enrich(touches, customers)
-    return interval_join(enriched, visits, lookback_days, hot=hot, salts=salts)
+    pairs = interval_join(enriched, visits, lookback_days, hot=hot, salts=salts, bounded=True)
+    return io.stamp_silver(pairs, load_date)
 
 
 def _spending(txns: DataFrame) -> DataFrame:
@@ -116,10 +124,13 @@ def _marketing(touches: DataFrame) -> DataFrame:
     )
 
 
-def customer_360(customers: DataFrame, txns: DataFrame, touches: DataFrame) -> DataFrame:
+def customer_360(
+    customers: DataFrame, txns: DataFrame, touches: DataFrame, load_date: str | None = None
+) -> DataFrame:
     """Every customer with spending and marketing totals; NULLs when there is no activity."""
-    return (
+    out = (
         customers.select(*CUSTOMER_COLUMNS)
         .join(_spending(txns), "customer_id", "left")
         .join(_marketing(touches), "customer_id", "left")
     )
+    return io.stamp_silver(out, load_date)

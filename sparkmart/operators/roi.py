@@ -12,12 +12,12 @@ from sparkmart.functions import expr
 
 def channel_cac(spend: DataFrame, approx: bool = False) -> DataFrame:
     """Last-click CAC uses the spend on converting touches, blended CAC all spend."""
-    total, conversions = expr.money_sum("touch_cost"), F.sum("is_converted")
-    converting = expr.money_sum(F.when(F.col("is_converted") == 1, F.col("touch_cost")))
+    total, conversions = expr.money_total("touch_cost"), F.sum("is_converted")
+    converting = expr.money_total(F.when(F.col("is_converted") == 1, F.col("touch_cost")))
     return spend.groupBy("channel").agg(
         expr.ndv("customer_id", approx).alias("total_customers_touched"),
         conversions.alias("conversions"),
-        total.alias("total_spend"),
+        expr.money_sum("touch_cost").alias("total_spend"),
         expr.ratio(converting, conversions, digits=2).alias("last_click_cac"),
         expr.ratio(total, conversions, digits=2).alias("blended_cac"),
         expr.rate_pct("is_converted").alias("conversion_rate_pct"),

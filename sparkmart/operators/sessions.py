@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import expr
 from sparkmart.operators import skew
+from sparkmart.sources import io
 
 
+# Sessions that one bucket of a customer may open at most.
+MOST_STARTS = 100_000
 # Stands for an unreadable time; sorts before any real second.
 _NO_TIME = -(2**62)
 
@@ -37,7 +40,7 @@ def _visitors(df: DataFrame, key: str, anonymous: str) -> DataFrame:
 
 def _session_label(key: str) -> Column:
     """Prefix of a session id; NULL for events that belong to nobody."""
-    name = F.substring("_visitor", 2, 2**30)
+    name = F.substr("_visitor", F.lit(2))
     anonymous = F.when(F.col("_visitor").startswith("a"), F.concat(F.lit("anonymous-"), name))
     return F.coalesce(F.col(key).cast("string"), anonymous)
 
@@ -90,25 +93,31 @@ def assign(
     timeout_s: int = 1800,
     bucket_s: int = 86400,
     anonymous: str = "drop",
+    separator: str = "",
 ) -> DataFrame:
     """Add ``session_number`` and ``true_session_id`` to every event.
 
     A session ends when the next event of the same customer comes more than ``timeout_s`` whole
     seconds later. Events without a customer are dropped, sessionised by the client's own
     ``session_id``, or kept as one unidentified visitor (``anonymous="keep"``).
+
+    Ids are the customer and a number of four digits; longer numbers follow a dash, so that they
+    cannot be read as another customer's. A ``separator`` is put before every number.
     """
-    second = F.coalesce(expr.epoch_seconds(df, ts), F.lit(_NO_TIME))
+    if timeout_s < 0 or bucket_s < 1 or bucket_s > MOST_STARTS * max(1, timeout_s):
+        raise ValueError(f"a bucket of {bucket_s} s would hold too many sessions of {timeout_s} s")
     second = F.coalesce(expr.epoch_seconds(df, ts), F.lit(_NO_TIME))
     events = _visitors(df, key, anonymous).withColumn("_second", second)
     starts = _session_starts(events.select("_visitor", "_second"), timeout_s, bucket_s)
     opened = F.size(F.filter("_starts", lambda start: start <= F.col("_second")))
     digits = F.col("session_number").cast("string")
-    number = F.when(F.col("session_number") < 10000, F.lpad(digits, 4, "0")).otherwise(digits)
+    number = F.when(F.col("session_number") < 10000, F.lpad(digits, 4, "0"))
+    number = number.otherwise(digits if separator else F.concat(F.lit("-"), digits))
     return (
         events.withColumn("_bucket", _bucket_of(F.col("_second"), bucket_s))
         .join(starts, ["_visitor", "_bucket"])
         .withColumn("session_number", F.col("_offset") + opened)
-        .withColumn("true_session_id", F.concat(_session_label(key), number))
+        .withColumn("true_session_id", F.concat(_session_label(key), F.lit(separator), number))
         .drop("_visitor", "_second", "_bucket", "_offset", "_starts")
     )
 
@@ -119,13 +128,14 @@ def rollup(
     ts: str = "timestamp",
     tie: str = "event_id",
     conversion: str = "conversion",
+    load_date: str | None = None,
 ) -> DataFrame:
     """One row per session. Entry, exit and first-seen attributes follow time, then ``tie``."""
     order = [F.col(ts).alias("ts"), F.col(tie).alias("tie")]
     first = F.min(F.struct(*order, "page", "device", "utm_source", "utm_campaign"))
     last = F.max(F.struct(*order, "page"))
     seconds = expr.epoch_seconds(df, ts)
-    return (
+    out = (
         df.groupBy("true_session_id", key)
         .agg(
             F.min(ts).alias("session_start"),
@@ -151,3 +161,4 @@ def rollup(
             "session_duration_seconds",
         )
     )
+    return io.stamp_silver(out, load_date)

@@ -185,15 +185,17 @@ def sku_variance(
 ) -> DataFrame:
     """Stock against the demand forecast for ``[as_of, as_of + horizon)``.
 
-    ``forecast`` has ``forecast_date`` and ``predicted_applications``. Its two figures come in as
-    one scalar subquery, so the products are only projected.
+    ``forecast`` has ``forecast_date`` and ``predicted_applications``, for one series or several:
+    predictions are summed per day first. Its two figures come in as one scalar subquery, so the
+    products are only projected.
     """
     start, day = _date(as_of), F.col("forecast_date")
     window = forecast.where((day >= start) & (day < F.date_add(start, horizon)))
-    figures = window.agg(
+    per_day = window.groupBy("forecast_date").agg(expr.money_total("predicted_applications").alias("_sum"))
+    figures = per_day.agg(
         F.struct(
-            expr.rnd(F.avg("predicted_applications"), 2).alias("daily"),
-            expr.rnd(F.sum("predicted_applications"), 2).alias("total"),
+            expr.rnd(F.avg("_sum"), 2).alias("daily"),
+            F.round(F.sum("_sum"), 2).cast("double").alias("total"),
         )
     ).scalar()
     daily, lead = F.col("avg_daily_forecast"), F.col("lead_time_days")

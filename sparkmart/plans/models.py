@@ -7,11 +7,12 @@ nothing is computed twice and no lineage grows long.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkmart import schemas
 from sparkmart.operators import (
     attribution, dims, facts, forecast, journey, marts, roi, sessions, supply,
 )
@@ -35,16 +36,14 @@ STAGING = {
     "stg_events": "events_raw",
 }
 
-# Serving view -> (model, comment).
+# Serving view -> (model, comment). View and model names are fixed values.
 SERVING = {
     "srv_channel_performance": (
-        "mart_channel_performance", "Marketing channel performance metrics for dashboards",
+        "mart_channel_performance", "Touches, spend and conversions by channel and campaign",
     ),
-    "srv_cohort_analysis": (
-        "mart_cohort_analysis", "Customer cohort retention analysis for dashboards",
-    ),
-    "srv_inventory_health": ("mart_inventory_health", "Inventory health metrics for dashboards"),
-    "srv_credit_risk": ("mart_credit_risk", "Credit risk metrics for dashboards"),
+    "srv_cohort_analysis": ("mart_cohort_analysis", "Activity by signup month and month since"),
+    "srv_inventory_health": ("mart_inventory_health", "Stock and margins by category and supplier"),
+    "srv_credit_risk": ("mart_credit_risk", "Approvals, defaults and amounts by credit tier"),
     "srv_channel_roi_summary": ("channel_roi", "Acquisition cost per channel"),
 }
 
@@ -53,6 +52,10 @@ def _staged(entity: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: silver.staging(entity, df)
 
 
+def _of_model(model: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda credited: attribution.of_model(credited, model)
+
+
 def _loan_forecast(train_end: str, created_at: str) -> Callable[[DataFrame], DataFrame]:
     def build(loans: DataFrame) -> DataFrame:
         train, _ = forecast.split(forecast.daily_counts(loans, "application_date"), train_end)
@@ -62,9 +65,16 @@ def _loan_forecast(train_end: str, created_at: str) -> Callable[[DataFrame], Dat
 
 
 def gold(
-    as_of: str, train_end: str, created_at: str, calendar: tuple[str, str] = ("2020-01-01", "2027-12-31")
+    as_of: str,
+    train_end: str,
+    created_at: str,
+    calendar: tuple[str, str] = ("2020-01-01", "2027-12-31"),
+    load_date: str | None = None,
 ) -> dict[str, Model]:
-    """All models in dependency order. Inputs that are no model are cleaned entities."""
+    """All models in dependency order. Inputs that are no model are cleaned entities.
+
+    ``load_date`` stamps the three silver tables that are derived here.
+    """
     models = {name: Model((entity,), _staged(entity)) for name, entity in STAGING.items()}
     touches_and_customers = ("stg_marketing_touches", "stg_customers")
     spend = ("fct_marketing_spend",)
@@ -74,10 +84,14 @@ def gold(
         return dims.date(dims.date_spine(customers.sparkSession, start, end))
 
     models |= {
-        "silver_sessions": Model(("stg_events",), lambda e: sessions.rollup(sessions.assign(e))),
-        "silver_touchpoints": Model((*touches_and_customers, "silver_sessions"), journey.touchpoints),
+        "silver_sessions": Model(("stg_events",), lambda e: sessions.rollup(sessions.assign(e), load_date=load_date)),
+        "silver_touchpoints": Model(
+            (*touches_and_customers, "silver_sessions"),
+            lambda t, c, s: journey.touchpoints(t, c, s, load_date=load_date),
+        ),
         "silver_customer_journey": Model(
-            ("stg_customers", "stg_transactions", "stg_marketing_touches"), journey.customer_360
+            ("stg_customers", "stg_transactions", "stg_marketing_touches"),
+            lambda c, x, t: journey.customer_360(c, x, t, load_date=load_date),
         ),
         "dim_customer": Model(("stg_customers",), lambda c: dims.customer(c, as_of)),
         "dim_products": Model(("stg_product_inventory",), dims.product),
@@ -93,11 +107,12 @@ def gold(
         "mart_credit_risk": Model(("fct_loan_applications",), marts.credit_risk),
         "mart_inventory_health": Model(("dim_products",), marts.inventory_health),
         "channel_roi": Model(spend, roi.channel_cac),
-        "fct_attribution_first_click": Model(spend, attribution.first_click),
-        "fct_attribution_last_click": Model(spend, attribution.last_click),
-        "fct_attribution_linear": Model(spend, attribution.linear),
-        "fct_attribution_time_decay": Model(spend, attribution.time_decay),
-        "fct_attribution_position_based": Model(spend, attribution.position_based),
+        # One pass over the touches; the five models' tables are projections of it.
+        "attribution_credits": Model(spend, attribution.credits),
+        **{
+            f"fct_attribution_{m}": Model(("attribution_credits",), _of_model(m))
+            for m in attribution.MODELS
+        },
         "mart_attribution_comparison": Model(spend, attribution.compare),
         "fct_inventory_health": Model(
             ("stg_product_inventory",), lambda p: supply.inventory_health(p, as_of)
@@ -131,13 +146,20 @@ def refresh(
     models: Mapping[str, Model],
     database: str = "default",
     fmt: str = "parquet",
+    partitions: Mapping[str, Sequence[str]] | None = None,
+    counts: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every model except the staging views, in order; later models read the tables."""
+    """Write every model except the staging views, in order; later models read the tables.
+
+    ``partitions`` names partition columns by model; ``counts`` receives the rows of each write.
+    """
     frames = dict(entities)
+    counts = {} if counts is None else counts
     for name, model in models.items():
         frame = model.build(*[frames[i] for i in model.inputs])
         if name not in STAGING:
-            io.write_table(frame, f"{database}.{name}", fmt)
+            by = (partitions or {}).get(name, ())
+            counts[name] = io.write_table(frame, f"{database}.{name}", fmt, by)
             frame = spark.read.table(f"{database}.{name}")
         frames[name] = frame
     return {name: frames[name] for name in models}
@@ -155,3 +177,10 @@ def publish_views(
             f"CREATE OR REPLACE VIEW {database}.{view} COMMENT '{text}' "
             f"AS SELECT * FROM {database}.{source}"
         )
+
+
+def publish_staging(spark: SparkSession, database: str = "default") -> None:
+    """Staging views over the silver tables: ``stg_x`` over ``silver_x``."""
+    for view, entity in STAGING.items():
+        columns = ", ".join(f"`{c}`" for c in schemas.staged_columns(entity))
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {columns} FROM {database}.silver_{entity}")

@@ -24,49 +24,85 @@ DOMAINS: dict[str, list] = {
     "is_converted": [0, 1],
 }
 
-# Per model, column -> checks. u = unique, n = not null, a = accepted values of the
-# domain with the column's name, model.column = relationship.
-DECLARED: dict[str, dict[str, str]] = {
+# Per model, column -> checks. A check with a dot names the parent column of a
+# relationship; accepted values are those of the domain with the column's name.
+DECLARED: dict[str, dict[str, list[str]]] = {
     "dim_customer": {
-        "customer_id": "u n", "credit_tier": "n a", "region": "n a", "acquisition_channel": "n a",
-        "data_quality_score": "n",
+        "customer_id": ["unique", "not_null"],
+        "credit_tier": ["not_null", "accepted_values"],
+        "region": ["not_null", "accepted_values"],
+        "acquisition_channel": ["not_null", "accepted_values"],
+        "data_quality_score": ["not_null"],
     },
     "dim_products": {
-        "product_id": "u n", "category": "n", "stock_status": "n a", "margin_band": "n a",
+        "product_id": ["unique", "not_null"],
+        "category": ["not_null"],
+        "stock_status": ["not_null", "accepted_values"],
+        "margin_band": ["not_null", "accepted_values"],
+    },
+    "dim_channel": {
+        "channel_key": ["unique", "not_null"],
+        "channel": ["not_null", "accepted_values"],
+        "channel_type": ["not_null", "accepted_values"],
+    },
+    "dim_campaign": {
+        "campaign_key": ["unique", "not_null"],
+        "campaign_objective": ["not_null", "accepted_values"],
+    },
+    "dim_date": {
+        "date_id": ["unique", "not_null"],
+        "season": ["not_null", "accepted_values"],
     },
-    "dim_channel": {"channel_key": "u n", "channel": "n a", "channel_type": "n a"},
-    "dim_campaign": {"campaign_key": "u n", "campaign_objective": "n a"},
-    "dim_date": {"date_id": "u n", "season": "n a"},
     "fct_transactions": {
-        "transaction_id": "u n", "customer_id": "n dim_customer.customer_id",
-        "transaction_amount": "n", "status": "n a", "product_type": "n a",
+        "transaction_id": ["unique", "not_null"],
+        "customer_id": ["not_null", "dim_customer.customer_id"],
+        "transaction_amount": ["not_null"],
+        "status": ["not_null", "accepted_values"],
+        "product_type": ["not_null", "accepted_values"],
     },
     "fct_loan_applications": {
-        "application_id": "u n", "customer_id": "n dim_customer.customer_id",
-        "approval_status": "n a", "purpose": "n", "requested_amount": "n",
+        "application_id": ["unique", "not_null"],
+        "customer_id": ["not_null", "dim_customer.customer_id"],
+        "approval_status": ["not_null", "accepted_values"],
+        "purpose": ["not_null"],
+        "requested_amount": ["not_null"],
     },
     "fct_conversions": {
-        "touch_id": "u n", "customer_id": "n dim_customer.customer_id", "channel": "n a",
-        "is_converted": "n a",
+        "touch_id": ["unique", "not_null"],
+        "customer_id": ["not_null", "dim_customer.customer_id"],
+        "channel": ["not_null", "accepted_values"],
+        "is_converted": ["not_null", "accepted_values"],
     },
     "fct_marketing_spend": {
-        "touch_id": "u n", "customer_id": "n dim_customer.customer_id",
-        "channel_key": "n dim_channel.channel_key", "campaign_key": "n dim_campaign.campaign_key",
-        "touch_cost": "n",
+        "touch_id": ["unique", "not_null"],
+        "customer_id": ["not_null", "dim_customer.customer_id"],
+        "channel_key": ["not_null", "dim_channel.channel_key"],
+        "campaign_key": ["not_null", "dim_campaign.campaign_key"],
+        "touch_cost": ["not_null"],
     },
     "mart_channel_performance": {
-        "channel": "n a", "total_touches": "n", "total_spend": "n", "conversion_rate_pct": "n",
+        "channel": ["not_null", "accepted_values"],
+        "total_touches": ["not_null"],
+        "total_spend": ["not_null"],
+        "conversion_rate_pct": ["not_null"],
     },
     "mart_cohort_analysis": {
-        "cohort_month": "n", "months_since_signup": "n", "active_customers": "n",
-        "total_spend": "n",
+        "cohort_month": ["not_null"],
+        "months_since_signup": ["not_null"],
+        "active_customers": ["not_null"],
+        "total_spend": ["not_null"],
     },
     "mart_inventory_health": {
-        "category": "n", "supplier": "n", "total_products": "n", "avg_margin_pct": "n",
+        "category": ["not_null"],
+        "supplier": ["not_null"],
+        "total_products": ["not_null"],
+        "avg_margin_pct": ["not_null"],
     },
     "mart_credit_risk": {
-        "credit_tier": "n a", "total_applications": "n", "approval_rate_pct": "n",
-        "total_loan_portfolio": "n",
+        "credit_tier": ["not_null", "accepted_values"],
+        "total_applications": ["not_null"],
+        "approval_rate_pct": ["not_null"],
+        "total_loan_portfolio": ["not_null"],
     },
 }
 
@@ -81,12 +117,10 @@ def checks(
     out = []
     for model in models or DECLARED:
         for column, kinds in DECLARED[model].items():
-            for kind in kinds.split():
-                if kind == "u":
-                    out.append(Check(model, column, "unique"))
-                elif kind == "n":
-                    out.append(Check(model, column, "not_null"))
-                elif kind == "a":
+            for kind in kinds:
+                if kind in ("unique", "not_null"):
+                    out.append(Check(model, column, kind))
+                elif kind == "accepted_values":
                     out.append(Check(model, column, "accepted_values", tuple(accepted[column])))
                 elif kind.split(".")[0] not in skip_relationships_to:
                     parent, pk = kind.split(".")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,15 +26,17 @@ def stamp_load(df: DataFrame, load_date: str, source: str | None = None) -> Data
     return df.withColumns({"load_date": F.lit(load_date), "source_file": origin})
 
 
-def write_bronze(df: DataFrame, path: str, partition: str = "load_date", fmt: str = "parquet") -> None:
-    """Replace only the partitions present in ``df``; earlier loads stay readable."""
+def write_bronze(df: DataFrame, path: str, partition: str = "load_date", fmt: str = "parquet") -> int:
+    """Replace only the partitions present in ``df``, earlier loads stay readable; row count."""
+    frame, seen = with_metrics(df, "written")
     (
-        df.write.format(fmt)
+        frame.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .save(path)
     )
+    return int(seen.get["rows"])
 
 
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
@@ -42,8 +44,33 @@ def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(source) if "/" in source else spark.read.table(source)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+def stamp_silver(df: DataFrame, load_date: str | None) -> DataFrame:
+    """Add ``silver_load_date`` if a load date is given."""
+    return df.withColumn("silver_load_date", F.lit(load_date)) if load_date else df
+
+
+def write_table(
+    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), dynamic: bool = False
+) -> int:
+    """Write a catalog table and return its row count, taken while writing.
+
+    ``partition_by`` lets later scans skip what a filter on these columns leaves out. ``dynamic``
+    replaces only the partitions present in ``df`` of a table that exists.
+    """
+    frame, seen = with_metrics(df, "written")
+    spark = df.sparkSession
+    if dynamic and partition_by and spark.catalog.tableExists(name):
+        columns = spark.read.table(name).columns
+        before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            frame.select(columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    else:
+        writer = frame.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    return int(seen.get["rows"])
 
 
 def with_metrics(
