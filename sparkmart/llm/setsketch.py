@@ -5,19 +5,22 @@ exponential draws of all elements, the smallest one on a scale of powers of ``BA
 16 bits: ``floor(1 - log_BASE(min))``. Sketches merge by the maximum of each register.
 
 1. Equal sets form one class, of which one document goes on (grouped with map-side combine).
-2. Registers are cut into bands; classes that agree on a band meet in a bucket.
-3. In a bucket only pairs with a center are looked at, never all pairs: the class with the smallest
-   id first. Pairs whose joint maximum-likelihood estimate (from the numbers of registers that are
-   larger, smaller and equal, and the two set sizes) is far below the threshold are dropped; the
-   others are verified on their full sets.
-4. Verified links give components. A bucket whose members are in one component is settled; in the
-   others more centers follow, each being compared with all members of other components and then
-   leaving the bucket, until all buckets are settled. So every pair of a bucket is either within one
-   component or has been compared: no link that banding finds is lost, and nothing is capped.
-
-With ``BANDS`` bands of ``ROWS`` registers a pair at the threshold of 0.75 misses all buckets with
-probability 2.4e-8, and the estimate's cut lies more than five standard errors below the threshold.
-Elements are compared by 64-bit hashes, sets of a class by two sums of them.
+2. Registers are cut into bands; classes that agree on a band meet. Each band's classes are tied to
+   the one with the smallest id, and the connected components of these ties are clusters: all pairs
+   that share any band lie within a cluster.
+3. A cluster is cut into blocks of bounded size. A task takes a block, estimates the similarity of
+   its pairs by joint maximum likelihood (from the numbers of registers that are larger, smaller and
+   equal, and the set sizes), and verifies on the full sets, from the most similar pair on, those
+   that are not yet connected. It returns the links of a spanning forest, never pairs.
+4. Clusters of one block are done with. Larger ones are cut anew a few times, which connects what is
+   alike; at last all members outside a cluster's largest component are compared with all blocks. So
+   every pair of a cluster is either connected or has been compared: no link is lost, nothing capped.
+
+With ``BANDS`` bands of ``ROWS`` registers a pair at the threshold of 0.75 misses all bands with
+probability 3e-8, and the estimate's cut lies six standard errors below the threshold. Elements are
+compared by 64-bit hashes, sets of a class by two sums of them. Step 4 compares members that are
+alike but unlinked with all of their cluster; this work, though not what is written or sent, grows
+with the number of such members times the size of the cluster.
 
 NULL and empty texts have an empty set and are linked with nothing. Rows with a NULL doc_id take no
 part and keep a NULL component. Repeated rows are equal sets. An empty table gives no rows. Further
@@ -29,35 +32,40 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkmart.llm import shared
 from sparkmart.llm.words import Words, bytes_of, chunks, mix
 
 SHINGLE = 5
-BANDS, ROWS = 32, 3
+BANDS, ROWS = 64, 5
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65534
 PERCENT = 75  # 100 * intersection >= PERCENT * union
-FLOOR = 0.5  # estimates below are not verified
-CENTERS = 8  # of a bucket in each round after the first
+FLOOR = 0.6  # pairs with smaller estimates are not verified
+BLOCK_SETS, BLOCK_ELEMENTS = 400, 1_000_000
+TASK_LINKS = 400_000  # that a task contracts
+CUTS = 3  # of a cluster into blocks before the last comparison
 _rng = np.random.default_rng(4711)
-_TIMES = _rng.integers(1, 2**62, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _rng.integers(1, 2**63, REGISTERS, dtype=np.uint64)
+_TIMES = _rng.integers(1, 2**62, REGISTERS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _rng.integers(1, 2**63, REGISTERS // 2, dtype=np.uint64)
 
 
 def registers(elements: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Registers of the sets that begin at ``starts`` (none empty): one row of 16-bit values each."""
-    low = np.empty((len(starts), REGISTERS))
-    for i in range(REGISTERS):
-        draws = elements * _TIMES[i]
-        draws += _PLUS[i]
-        draws >>= np.uint64(11)
-        low[:, i] = np.minimum.reduceat(draws, starts)
-    smallest = -np.log1p(-(low + 0.5) / 2.0**53) / RATE
+    """Registers of the sets that begin at ``starts`` (none empty): one row of 16-bit values each.
+
+    Each 64-bit product of an element gives two draws of 32 bits.
+    """
+    low = np.full((len(starts), REGISTERS), 2**32 - 1, np.uint32)
+    ends = np.append(starts[1:], len(elements))
+    for row, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        for at in range(a, b, 256):
+            draws = elements[at : min(b, at + 256), None] * _TIMES
+            draws += _PLUS
+            np.minimum(low[row], draws.view(np.uint32).min(axis=0), out=low[row])
+    smallest = -np.log1p(-(low + 0.5) / 2.0**32) / RATE
     return np.clip(np.floor(1 - np.log(smallest) / np.log(BASE)), 0, TOP + 1).astype("<u2")
 
 
@@ -66,7 +74,7 @@ def merge(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.maximum(one, other)
 
 
-def joint_estimate(larger: np.ndarray, smaller: np.ndarray, n1: np.ndarray, n2: np.ndarray, steps: int = 200) -> np.ndarray:
+def joint_estimate(larger: np.ndarray, smaller: np.ndarray, n1: np.ndarray, n2: np.ndarray, steps: int = 100) -> np.ndarray:
     """Maximum-likelihood similarity from the numbers of registers in which the first sketch is
     larger or smaller than the second, and the set sizes."""
     larger, smaller = (np.asarray(x, float)[:, None] for x in (larger, smaller))
@@ -96,8 +104,6 @@ def _sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def sketches(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, two sums that stand for the set, and the registers."""
-    import pyarrow as pa
-
     names = ["doc_id", "n_shingles", "s1", "s2", "sketch"]
 
     def task(batches) -> Iterator:
@@ -132,8 +138,6 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame) -> DataFrame:
     """Per row: doc_id as ``cls`` and its elements."""
-    import pyarrow as pa
-
     def task(batches) -> Iterator:
         for batch in batches:
             data, offsets = bytes_of(batch.column("text"))
@@ -145,55 +149,183 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(task, "cls long, items array<long>")
 
 
-@F.pandas_udf(T.DoubleType())
-def estimate(one: pd.Series, other: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    """Joint estimate of the similarity of pairs of sketches."""
-    a = np.frombuffer(b"".join(one), "<u2").reshape(-1, REGISTERS)
-    b = np.frombuffer(b"".join(other), "<u2").reshape(-1, REGISTERS)
-    larger, smaller = (a > b).sum(axis=1), (a < b).sum(axis=1)
-    return pd.Series(joint_estimate(larger, smaller, n1.to_numpy(), n2.to_numpy()), dtype=float)
+def likely_pairs(sketch: np.ndarray, n: np.ndarray, ones: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (one, other) whose estimate reaches ``FLOOR``, from the most similar on."""
+    found, scores = [], []
+    for i in ones.tolist():
+        rest = others[others != i]
+        rest = rest[100 * np.minimum(n[rest], n[i]) >= PERCENT * np.maximum(n[rest], n[i])]  # no more alike
+        if not len(rest):
+            continue
+        larger = (sketch[i] > sketch[rest]).sum(axis=1)
+        smaller = (sketch[i] < sketch[rest]).sum(axis=1)
+        # Registers are equal at least as often as the sets are similar; saves most estimates.
+        near = REGISTERS - larger - smaller >= REGISTERS * (FLOOR - 0.1)
+        rest, larger, smaller = rest[near], larger[near], smaller[near]
+        if len(rest):
+            j = joint_estimate(larger, smaller, np.full(len(rest), n[i]), n[rest])
+            keep = j >= FLOOR
+            found.append(np.stack([np.full(keep.sum(), i), rest[keep]], 1))
+            scores.append(j[keep])
+    if not found:
+        return []
+    pairs, score = np.concatenate(found), np.concatenate(scores)
+    return [tuple(p) for p in pairs[np.argsort(-score, kind="stable")].tolist()]
+
+
+def verified_links(sets: list[np.ndarray], labels: list[int], pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Pairs at or above the threshold on the full sets that connect different labels; a spanning
+    forest, as pairs that are connected already are passed over."""
+    parent = {x: x for x in labels}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for a, b in pairs:
+        x, y = root(labels[a]), root(labels[b])
+        if x == y:
+            continue
+        one, other = (sets[a], sets[b]) if len(sets[a]) <= len(sets[b]) else (sets[b], sets[a])
+        at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+        both = int((other[at] == one).sum())
+        if 100 * both >= PERCENT * (len(one) + len(other) - both):
+            parent[max(x, y)] = min(x, y)
+            links.append((a, b))
+    return links
+
+
+def block_links(table: pa.Table) -> pa.Table:
+    """Links within a block of rows (cls, label, sketch, items). Rows with ``side`` 0 and 1 are
+    compared across sides only, rows without a side with all others."""
+    table = table.combine_chunks()
+    column = lambda c: table.column(c).combine_chunks()
+    cls, labels = column("cls").to_numpy(), column("label").to_numpy().tolist()
+    sketch = np.frombuffer(b"".join(column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    items = column("items")
+    values = items.flatten().to_numpy().view(np.uint64)
+    ends = np.cumsum(items.value_lengths().to_numpy())
+    sets = np.split(values, ends[:-1])
+    n = np.array([len(x) for x in sets])
+    side = column("side").to_numpy()
+    ones, others = np.flatnonzero(side <= 0), np.flatnonzero(side != 0)
+    links = verified_links(sets, labels, likely_pairs(sketch, n, ones, others))
+    return pa.table({"a": pa.array([cls[a] for a, _ in links], pa.int64()), "b": pa.array([cls[b] for _, b in links], pa.int64())})
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The same components from fewer and shorter edges (u, v): every task, of about ``TASK_LINKS``
+    edges, ties each of their nodes to the smallest one it is connected with there."""
+
+    def task(batches) -> Iterator:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        def ties():
+            nodes = [x for x in parent if root(x) != x]
+            columns = [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+        for batch in batches:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                x, y = root(u), root(v)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        yield ties()
+
+    return edges.mapInArrow(task, "u long, v long")
 
 
 def components(links: DataFrame, folder: str, name: str) -> DataFrame:
     """Smallest node of each component, for every node of a link (a, b): node, label.
 
-    Alternates between joining larger neighbours to the smallest one (large star) and smaller ones
-    (small star); every step is one grouped minimum and one join on written tables.
+    Tasks of bounded size contract the links they read; where that takes several tasks, a step joins
+    larger neighbours to the smallest one (large star) and smaller ones (small star), and so on in
+    turn, on written tables, until every node has one neighbour, the smallest of its component.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     edges = shared.staged(edges, folder, f"{name}-0")
     step = 0
     while True:
         step += 1
+        tasks = max(1, -(-edges.count() // TASK_LINKS))
+        edges = shared.staged(_contracted(edges.coalesce(tasks)), folder, f"{name}-tied-{step}")
+        if tasks == 1:  # the task has seen all of them
+            break
+        roots = edges.select(F.col("v").alias("u")).distinct()
+        unsettled = edges.groupBy("u").agg(F.count("v").alias("n")).where("n > 1").select("u")
+        if unsettled.unionByName(edges.select("u").join(roots, "u", "left_semi")).isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = shared.staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), folder, f"{name}-low-{step}")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = shared.staged(large, folder, f"{name}-large-{step}")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         pairs = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        new = shared.staged(pairs.where("u <> v").distinct(), folder, f"{name}-{step}")
-        # Settled when every node has one neighbour, the smallest of its component, and only that.
-        roots = new.select(F.col("v").alias("u")).distinct()
-        unsettled = new.groupBy("u").agg(F.count("v").alias("n")).where("n > 1").select("u")
-        unsettled = unsettled.unionByName(new.select("u").join(roots, "u", "left_semi"))
-        edges = new
-        if unsettled.isEmpty():
-            break
+        edges = shared.staged(pairs.where("u <> v").distinct(), folder, f"{name}-{step}")
     labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) at or above the threshold: estimated on sketches, then counted on full sets."""
-    side = lambda x: classes.select(F.col("cls").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"k_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))  # no larger similarity
-    likely = both.where(estimate("k_a", "k_b", "n_a", "n_b") >= FLOOR)
-    items = lambda x: sets.select(F.col("cls").alias(x), F.col("items").alias(f"s_{x}"))
-    full = likely.select("a", "b", "n_a", "n_b").join(items("a"), "a").join(items("b"), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    counted = full.select("a", "b", "n_a", "n_b", common.alias("n"))
-    return counted.where(100 * F.col("n") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
+def _block_count(n: str, elements: str):
+    return F.greatest(F.ceil(F.col(n) / BLOCK_SETS), F.ceil(F.col(elements) / BLOCK_ELEMENTS)).cast("int")
+
+
+def _links(members: DataFrame, folder: str) -> DataFrame:
+    """Links (a, b) of members (cls, cluster, n_shingles, sketch, items) that connect as all links do."""
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("elements"))
+    sizes = sizes.select("cluster", _block_count("n", "elements").alias("blocks"))
+    sizes = shared.staged(sizes, folder, "sizes")
+
+    def solve(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        columns = rows.select(*keys, "cls", "label", "side", "sketch", "items")
+        return shared.staged(columns.groupBy(*keys).applyInArrow(lambda t: block_links(t), "a long, b long"), folder, name)
+
+    def block(step: int, count: str = "blocks"):
+        return F.pmod(F.xxhash64(F.lit(step), "cls"), F.col(count)).cast("int")
+
+    def labelled(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        labels = shared.staged(components(links, folder, f"{name}-steps"), folder, name)
+        joined = rows.join(labels, rows["cls"] == labels["node"], "left").drop("node")
+        return joined.withColumn("label", F.coalesce("label", "cls"))
+
+    alone = F.lit(-1).alias("side")
+    rows = members.join(sizes, "cluster").withColumns({"label": F.col("cls"), "block": block(0)})
+    links = solve(rows.select("*", alone), ["cluster", "block"], "links-0")
+    large = members.join(sizes.where("blocks > 1"), "cluster")
+    if large.isEmpty():
+        return links
+    large = shared.staged(large, folder, "large")
+    for step in range(1, CUTS):
+        now = labelled(large, links, f"labels-{step}").withColumn("block", block(step))
+        more = solve(now.select("*", alone), ["cluster", "block"], f"links-{step}")
+        links = links.unionByName(more)
+        if more.isEmpty():
+            break
+    # Whoever stands outside the largest component of a cluster meets every block of it.
+    now = shared.staged(labelled(large, links, "labels-last"), folder, "now")
+    parts = now.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("elements"))
+    total = parts.groupBy("cluster").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.sum("elements").alias("elements")
+    )
+    total = total.where(F.col("n") > F.col("top.n")).select("cluster", F.col("top.label").alias("top"))
+    outside = parts.join(total, "cluster").where("label <> top").groupBy("cluster", "top")
+    outside = outside.agg(F.sum("n").alias("n"), F.sum("elements").alias("elements"))
+    outside = shared.staged(outside.select("cluster", "top", _block_count("n", "elements").alias("others")), folder, "outside")
+    last = now.join(outside, "cluster")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    one = last.where("label <> top").select("*", block(8, "others").alias("i"), each("blocks").alias("j"), F.lit(0).alias("side"))
+    other = last.select("*", each("others").alias("i"), block(9).alias("j"), F.lit(1).alias("side"))
+    return links.unionByName(solve(one.unionByName(other), ["cluster", "i", "j"], "links-last"))
 
 
 def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
@@ -202,50 +334,25 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     filled = made.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"))
     classes = shared.staged(classes, folder, "classes")
-    one = filled.dropDuplicates(["doc_id", "s1", "s2"])
-    reps = classes.join(one, (one["doc_id"] == classes["cls"]) & (one["s1"] == classes["s1"]) & (one["s2"] == classes["s2"]))
-    # A doc_id repeated with different texts may stand for two classes; they are told apart by set.
-    reps = reps.select("cls", "n_shingles", "sketch").dropDuplicates(["cls"])
+    # A doc_id repeated with different texts may stand for two classes; the smaller set sum is taken.
+    reps = filled.join(classes.select("cls", F.col("s1").alias("c1"), F.col("s2").alias("c2")), filled["doc_id"] == F.col("cls"))
+    reps = reps.where("s1 = c1 AND s2 = c2").select("cls", "n_shingles", "sketch").dropDuplicates(["cls"])
     reps = shared.staged(reps, folder, "representatives")
 
     band = lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * 2 * ROWS + 1, F.lit(2 * ROWS)))
     keys = reps.select("cls", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("key"))
     centers = keys.groupBy("key").agg(F.min("cls").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = shared.staged(keys.join(centers.select("key", "center"), "key"), folder, "buckets")
-    wanted = buckets.select("cls").distinct()
+    # Written before it is joined, so that Spark can split a hot key on the other side.
+    centers = shared.staged(centers.select("key", "center"), folder, "centers")
+    ties = keys.join(centers, "key").where("cls <> center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
+    clusters = shared.staged(components(ties, folder, "clusters-steps"), folder, "clusters")
+    clusters = clusters.select(F.col("node").alias("cls"), F.col("label").alias("cluster"))
     texts = docs.select(F.col("doc_id").cast("long").alias("cls"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(wanted, "cls", "left_semi")
-    sets = shared.staged(full_sets(rows), folder, "sets").dropDuplicates(["cls"])
-
-    pairs = buckets.where("cls <> center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
-    pairs = shared.staged(pairs, folder, "pairs-0")
-    links = shared.staged(_verify(pairs, reps, sets), folder, "links-0")
-    labels = shared.staged(components(links, folder, "labels-0"), folder, "labelled-0")
-    tested = pairs
-    alive = buckets.where("cls <> center").select("key", "cls")
-    step = 0
-    while True:
-        step += 1
-        own = alive.join(labels, alive["cls"] == labels["node"], "left")
-        own = own.select("key", "cls", F.coalesce("label", "cls").alias("label"))
-        draw = lambda j: F.min(F.struct(F.xxhash64(F.lit(j), "cls"), F.col("cls"))).alias(f"c{j}")
-        open_ = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), *(draw(j) for j in range(CENTERS)))
-        open_ = open_.where("low <> high")
-        chosen = F.array_distinct(F.array(*(F.col(f"c{j}.cls") for j in range(CENTERS))))
-        live = shared.staged(own.join(open_.select("key", chosen.alias("centers")), "key"), folder, f"open-{step}")
-        if live.isEmpty():
-            break
-        members = live.select("key", "cls", "label", F.explode("centers").alias("center"))
-        known = labels.select(F.col("node").alias("center"), F.col("label").alias("center_label"))
-        cross = members.join(known, "center", "left").where(F.col("label") != F.coalesce("center_label", "center"))
-        new = cross.select(F.least("center", "cls").alias("a"), F.greatest("center", "cls").alias("b")).distinct()
-        new = shared.staged(new.join(tested, ["a", "b"], "left_anti"), folder, f"pairs-{step}")
-        found = shared.staged(_verify(new, reps, sets), folder, f"links-{step}")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = shared.staged(components(links, folder, f"labels-{step}"), folder, f"labelled-{step}")
-        tested = tested.unionByName(new)
-        alive = shared.staged(live.where(~F.array_contains("centers", F.col("cls"))).select("key", "cls"), folder, f"alive-{step}")
+    sets = full_sets(texts.join(clusters, "cls", "left_semi"))
+    members = clusters.join(reps, "cls").join(sets, "cls").dropDuplicates(["cls"])
+    shared.release(docs.sparkSession)
+    links = _links(shared.staged(members, folder, "members"), folder)
+    labels = shared.staged(components(links, folder, "labels-steps"), folder, "labels")
 
     named = classes.join(labels, classes["cls"] == labels["node"], "left")
     named = named.select("s1", "s2", F.coalesce("label", "cls").alias("label"))

@@ -43,9 +43,12 @@ def test_near_duplicates_equal_brute_force(spark, docs, corpus, folder):
     check(spark, docs, corpus, folder)
 
 
-def test_chains_and_groups_around_the_threshold(spark, folder):
-    """Copies with growing numbers of changes: some link only through others, and buckets hold
-    several components, so that further centers are needed."""
+@pytest.mark.parametrize("block", [400, 7])
+def test_chains_and_groups_around_the_threshold(spark, folder, block, monkeypatch):
+    """Copies with growing numbers of changes: some link only through others, clusters hold several
+    components, and with small blocks all cuts and the last comparison are needed."""
+    monkeypatch.setattr(setsketch, "BLOCK_SETS", block)
+    monkeypatch.setattr(setsketch, "TASK_LINKS", block)
     from conftest import invented
 
     draw = np.random.default_rng(5)
@@ -60,6 +63,16 @@ def test_chains_and_groups_around_the_threshold(spark, folder):
     check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, folder)
 
 
+def test_components_of_chains_and_stars(spark, folder, monkeypatch):
+    """Links in several tasks, so that star steps are needed."""
+    monkeypatch.setattr(setsketch, "TASK_LINKS", 20)
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(300, 160 + 1000), (160 + 1000, 159), (7, 7)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    got = {r.node: r.label for r in setsketch.components(df, folder, "x").collect()}
+    want = {i: 0 for i in range(61)} | {i: 100 for i in [*range(100, 160), 300, 1160]}
+    assert got == want
+
+
 def test_empty_tables(no_docs, folder):
     assert setsketch.near_duplicates(no_docs, folder).collect() == []
     assert suffix.without_repeats(no_docs, folder).collect() == []
