@@ -350,6 +350,8 @@ def repeated_runs(docs: DataFrame, folder: str, hot_units: int = HOT_UNITS) -> D
     spark = docs.sparkSession
     every = shared.staged(members(docs), folder, "members")
     shared_anchors = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Written before it is joined, so that Spark can split a hot anchor on the other side.
+    shared_anchors = shared.staged(shared_anchors, folder, "anchors")
     found = shared.staged(every.join(shared_anchors, "h", "left_semi"), folder, "shared")
     shared.release(spark)
     units = found.groupBy("h", "seg").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "place")).alias("first"))
