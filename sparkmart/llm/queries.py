@@ -37,5 +37,6 @@ QUERIES: dict[str, Query] = {
 }
 SQL: dict[str, str] = {
     "op1_spaced_seeds": decontaminate.OP1_SQL,
+    "op3_hash_tree_shards": shards.OP3_SQL,
     "op10_warc_zip": warc_zip.OP10_SQL,
 }

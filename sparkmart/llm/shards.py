@@ -106,3 +106,59 @@ def assign(docs: DataFrame, shards: int = 16, base: int = 16) -> DataFrame:
 def op3_hash_tree_shards(spark, sf_dir: str) -> DataFrame:
     """All documents in 16 shards, and where they would be in 17."""
     return assign(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=16)
+
+
+def _sql() -> str:
+    """The same in DuckDB; a checksum is one step of a table for each byte."""
+
+    def crc_table() -> list[int]:
+        out = []
+        for n in range(256):
+            for _ in range(8):
+                n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+            out.append(n)
+        return out
+
+    def digits(path: str) -> str:
+        return f"('0x' || substr(md5(k || '|{path}'), 1, 12))::BIGINT"
+
+    def chosen(level: str, children: dict[str, float]) -> str:
+        draws = [
+            f"{{'d': -ln(({digits(f'{level}/{name}')} + 0.5::DOUBLE) / {_SPAN}::DOUBLE) / {w}::DOUBLE, 'n': '{name}'}}"
+            for name, w in children.items()
+        ]
+        return f"list_min([{', '.join(draws)}]).n"
+
+    def placed(layout: Tree, source: str, to: str) -> str:
+        regions = {r: sum(w for q, _, _, w in layout if q == r) for r, _, _, _ in layout}
+        racks = {r: {k: sum(w for _, q, _, w in layout if q == k) for p, k, _, _ in layout if p == r} for r in regions}
+        shards = {k: {f"{s:06d}": w for _, q, s, w in layout if q == k} for _, k, _, _ in layout}
+        case = lambda at, level, below: f"CASE {at} " + " ".join(
+            f"WHEN '{p}' THEN {chosen(f'{level}/{p}', c)}" for p, c in below.items()
+        ) + " END"
+        return (
+            f"SELECT * EXCLUDE (region, rack), CAST({case('rack', 'shard', shards)} AS INTEGER) AS {to} FROM ("
+            f"SELECT *, {case('region', 'rack', racks)} AS rack FROM ("
+            f"SELECT *, {chosen('region', regions)} AS region FROM {source}))"
+        )
+
+    return f"""
+WITH t AS (SELECT {crc_table()}::BIGINT[] AS t),
+d AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, coalesce(text, '') AS x,
+    hex(encode(coalesce(text, ''))) AS h, greatest(1, CAST(ceil(count(*) OVER () / {BLOCK_ROWS}) AS BIGINT)) AS blocks
+  FROM documents
+), c AS (
+  SELECT doc_id, k, octet_length(encode(x)) + 1 AS size, {digits('slot')} % blocks AS block,
+    xor(4294967295, list_reduce(
+      list_transform(range(0, octet_length(encode(x))), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295)) AS text_crc32
+  FROM d, t
+), p AS ({placed(tree(16), 'c', 'shard')}), g AS ({placed(tree(17), 'p', 'grown_shard')})
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY block, doc_id, text_crc32, size) - 1 AS slot, grown_shard
+FROM g
+"""
+
+
+OP3_SQL = _sql()
