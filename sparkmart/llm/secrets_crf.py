@@ -4,7 +4,7 @@ Tokens are words; each is tagged begin (B), inside (I) or outside (O) of a secre
 of weights: of the token's shape (classes of its characters, length, variety), of the words before
 and after it, of features of the whole text (the file), and of transitions. The field is trained
 here, in numpy, by gradient ascent of the exact log-likelihood (forward-backward) on texts that the
-fixed patterns label: a bounded sample, ``TRAIN_CHARS`` characters of ``TRAIN_TEXTS`` texts.
+fixed patterns label: a bounded sample, ``TRAIN_CHARS`` characters of ``TRAIN_TEXTS`` texts or so.
 
 Decoding is exact Viterbi over whole texts, of any length. A token whose O score leads by more than
 twice the range of the transitions is O in every best path, because exchanging its tag for O gains
@@ -270,11 +270,13 @@ def gold_tags(text: str, words: Words, row: int = 0) -> np.ndarray:
 
 
 def train(docs: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS, seed: int = 7) -> Field:
-    """A field from a bounded sample: ``chars`` characters of the ``texts`` texts of smallest hash."""
-    text = F.substring(F.col("text").cast("string"), 1, chars)
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    some = docs.where(F.col("text").isNotNull()).select(text.alias("text"), order.alias("_order"))
-    return fit([r.text for r in some.orderBy("_order", "text").limit(texts).collect()])
+    """A field from a bounded sample: ``chars`` characters of about ``texts`` texts drawn by hash."""
+    text = F.col("text").cast("string")
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), text), F.lit(1 << 40))
+    share = min(1.0, texts / max(1, docs.count()))
+    some = docs.where(text.isNotNull() & (draw < int(share * (1 << 40)))).select(F.substring(text, 1, chars).alias("text"))
+    # Repeated rows are drawn together; the limit bounds what reaches the driver all the same.
+    return fit(sorted(r.text for r in some.limit(2 * texts).collect()))
 
 
 def fit(texts: list[str], around: int = 40, plain: int = 60) -> Field:
