@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from sparkmart.llm import setsketch, suffix
-from tests_llm_helpers import word_sets
+from tests_llm_helpers import corpus, docs, folder, no_docs, word_sets  # noqa: F401
 
 
 def components_of(rows):
@@ -49,7 +49,7 @@ def test_chains_and_groups_around_the_threshold(spark, folder, block, monkeypatc
     components, and with small blocks all cuts and the last comparison are needed."""
     monkeypatch.setattr(setsketch, "BLOCK_SETS", block)
     monkeypatch.setattr(setsketch, "TASK_LINKS", block)
-    from conftest import invented
+    from tests_llm_helpers import invented
 
     draw = np.random.default_rng(5)
     rows = []

@@ -2,6 +2,7 @@ import pytest
 
 import corpus_pipeline
 from sparkmart.llm.queries import QUERIES, SQL
+from tests_llm_helpers import corpus, folder, no_docs, tables  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

@@ -3,6 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from sparkmart.llm import shards
+from tests_llm_helpers import corpus, docs, no_docs  # noqa: F401
 
 
 def test_columns_and_slots(docs, corpus, monkeypatch):

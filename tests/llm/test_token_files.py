@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from sparkmart.llm import encode, packing, shared, token_files
+from tests_llm_helpers import corpus, docs, folder, no_docs  # noqa: F401
 
 
 def plain(name, texts, end):
