@@ -10,8 +10,8 @@ stretch.
 
 DataFrame functions only. Benchmark seeds are the broadcast side; their number is counted first, and
 a benchmark with more than ``BLOCK_SEEDS`` of them is taken in blocks of items, each in a pass of
-its own. Documents are not shuffled at all: a hit is verified where the document lies, and only
-verified overlaps, one row for each document, item and task, are grouped.
+its own. Only hits, as (document, item, shift), leave that pass; they are made distinct and joined
+with the texts of their documents to be verified.
 
 Tokens are the maximal runs of letters and digits of the lower-cased text. Texts or items that are
 NULL, empty or shorter than a seed have no seeds and thus no overlaps. Repeated documents are
@@ -26,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm import shared
+
 # Fixed masks: positions that a seed looks at; eight tokens long, weight five.
 MASKS = ((0, 1, 2, 4, 7), (0, 3, 5, 6, 7))
 SPAN = 8
@@ -37,23 +39,31 @@ BLOCK_SEEDS = 500_000
 def tokens(text: Column) -> Column:
     """Hashes of the runs of letters and digits of the lower-cased text."""
     parts = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.xxhash64(x))
+    return F.transform(F.array_remove(parts, ""), lambda x: F.xxhash64(x))
 
 
 def seeds(words: Column) -> Column:
-    """For each start of a seed, an array with the hash of each mask."""
+    """Seed hashes of all starts by the first mask, then by the second."""
+
+    def by(number: int, mask: tuple[int, ...]) -> Column:
+        starts = F.sequence(F.lit(0), F.size(words) - SPAN)
+        return F.transform(starts, lambda i: F.xxhash64(F.lit(number), *[F.get(words, i + k) for k in mask]))
 
-    def at(i: Column) -> Column:
-        return F.array(*[F.xxhash64(F.lit(m), *[F.get(words, i + k) for k in mask]) for m, mask in enumerate(MASKS)])
+    return F.concat(*[by(number, mask) for number, mask in enumerate(MASKS)])
 
-    starts = F.sequence(F.lit(0), F.size(words) - SPAN)
-    return F.when(F.size(words) >= SPAN, F.transform(starts, at)).otherwise(F.array().cast("array<array<bigint>>"))
 
+def _rows(df: DataFrame, key: str, words: str, at: str) -> DataFrame:
+    """(key, at, seed) of every seed of texts with as many tokens as a seed has.
 
-def _item_seeds(items: DataFrame) -> DataFrame:
-    """One row for each hash: the places (item, position) that have it."""
-    each = items.select("item_id", "item", F.posexplode(seeds(F.col("item"))).alias("item_at", "hashes"))
-    return each.select("item_id", "item", "item_at", F.explode("hashes").alias("seed"))
+    Hashes are made in a projection of their own, so that only narrow rows leave the generator. It
+    is an outer one on purpose: for others Spark infers a filter on the size of the array, and moves
+    it, with all that makes up the array, to where the tokens would be made anew for each element.
+    Texts without seeds give a row without a seed, which no join keeps.
+    """
+    size = F.size(words)
+    made = df.select(key, (size - SPAN + 1).alias("_starts"), F.when(size >= SPAN, seeds(F.col(words))).alias("_seeds"))
+    each = made.select(key, "_starts", F.posexplode_outer("_seeds").alias("_at", "seed"))
+    return each.select(key, (F.col("_at") % F.col("_starts")).alias(at), "seed")
 
 
 def matches(doc: Column, item: Column, shift: Column) -> Column:
@@ -76,31 +86,41 @@ def best_stretch(same: Column, stretch: int = STRETCH) -> Column:
     return F.array_max(F.transform(starts, total))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, stretch: int = STRETCH) -> DataFrame:
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, folder: str, share: float = SHARE, stretch: int = STRETCH
+) -> DataFrame:
     """Verified overlaps: doc_id, item_id, the number of alignments, where the first one puts the
     item in the document (in tokens), and the best number of matches of an alignment."""
     items = benchmark.select("item_id", tokens(F.col("text")).alias("item"))
     n_seeds = items.agg(F.sum(F.greatest(F.size("item") - SPAN + 1, F.lit(0)))).head()[0] or 0
     blocks = max(1, -(-int(n_seeds) * len(MASKS) // BLOCK_SEEDS))
-    own = docs.select("doc_id", tokens(F.col("text")).alias("doc")).where(F.size("doc") >= SPAN)
-    # Generators stand on the document's side, so that its tokens stay in the row until verified.
-    starts = own.select("doc_id", "doc", F.posexplode(seeds(F.col("doc"))).alias("doc_at", "hashes"))
-    rows = starts.select("doc_id", "doc", "doc_at", F.explode("hashes").alias("seed"))
+    rows = _rows(docs.select("doc_id", tokens(F.col("text")).alias("doc")), "doc_id", "doc", "doc_at")
     found = []
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
-        hits = rows.join(F.broadcast(_item_seeds(some)), "seed")  # at most about BLOCK_SEEDS rows
+        places = _rows(some, "item_id", "item", "item_at")  # at most about BLOCK_SEEDS rows
+        hits = rows.join(F.broadcast(places), "seed")
         shift = (F.col("doc_at") - F.col("item_at")).alias("shift")
-        same = matches(F.col("doc"), F.col("item"), F.col("doc_at") - F.col("item_at"))
-        scored = hits.select(
-            "doc_id", "item_id", shift,
-            F.size("item").alias("item_tokens"),
-            F.aggregate(same, F.lit(0), lambda a, b: a + b).alias("matched"),
-            best_stretch(same, stretch).alias("best"),
-        )
-        need = F.least(F.lit(stretch), F.col("item_tokens")) * F.lit(share)
-        found.append(scored.where(F.col("best") >= need))
-    every = reduce(DataFrame.unionByName, found)
+        found.append(shared.staged(hits.select("doc_id", "item_id", shift).distinct(), folder, f"hits-{block}"))
+    hits = reduce(DataFrame.unionByName, found).select(F.col("doc_id").alias("_doc_id"), "item_id", "shift")
+    texts = docs.select("doc_id", "text")
+    both = texts.join(hits, texts["doc_id"].eqNullSafe(hits["_doc_id"])).select("doc_id", "text", F.col("item_id").alias("_item_id"), "shift")
+    both = both.join(items, both["_item_id"].eqNullSafe(items["item_id"]))
+    pairs = both.select("doc_id", "item_id", "shift", "item", tokens(F.col("text")).alias("doc"))
+    same = pairs.select(
+        "doc_id", "item_id", "shift",
+        F.size("item").alias("item_tokens"),
+        matches(F.col("doc"), F.col("item"), F.col("shift")).alias("same"),
+    )
+    scored = same.select(
+        "doc_id", "item_id", "shift", "item_tokens",
+        F.aggregate("same", F.lit(0), lambda a, b: a + b).alias("matched"),
+        best_stretch(F.col("same"), stretch).alias("best"),
+    )
+    # Written first: a filter on it would be moved below the projections, with all they compute inside
+    # of it, and the tokens would be made anew for each element.
+    scored = shared.staged(scored, folder, "scored")
+    every = scored.where(F.col("best") >= F.least(F.lit(stretch), F.col("item_tokens")) * F.lit(share))
     return every.groupBy("doc_id", "item_id").agg(
         F.count_distinct("shift").alias("alignments"),
         F.min("shift").cast("long").alias("first_token"),
@@ -111,9 +131,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, stretc
 
 def clean(docs: DataFrame, benchmark: DataFrame, folder: str) -> DataFrame:
     """Documents without an overlap, unchanged. The join sees ids only, once for each document."""
-    from sparkmart.llm import shared
-
-    leaks = overlaps(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
+    leaks = overlaps(docs, benchmark, folder).select(F.col("doc_id").alias("_leak")).distinct()
     leaks = shared.staged(leaks, folder, "leaks")
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
 
@@ -121,7 +139,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, folder: str) -> DataFrame:
 def op1_spaced_seeds(spark, sf_dir: str) -> DataFrame:
     """Overlaps of all documents with all benchmark items."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return overlaps(docs, items, shared.workspace(spark, "decontaminate"))
 
 
 OP1_SQL = r"""
