@@ -1,25 +1,28 @@
 """Log-bilinear language model, trained with noise-contrastive estimation in numpy.
 
-Words fall into ``CLASSES`` classes: the end of a text, the most frequent words each on its own, and
-buckets of all other words by length and letters beyond ASCII. The vectors of the two classes before
-a token, each times a matrix of its position, add up to a prediction, whose products with the class
-vectors, plus biases, give the scores of the next class. The probability of a token is that of its
-class, times the word's share of its class by counts over all training texts (plus one for each
-word, and one for unseen words).
+Every word with at least ``HEAD_SHARE`` of all training tokens, and the end of a text, is an entry
+with vectors of its own, as context and as target, however many such words there are. All rarer words
+share the entries of buckets by length and letters beyond ASCII. The context vectors of the two
+entries before a token, each times a matrix of its position, add up to a prediction. The probability
+of a token is that of its entry, in a bucket times the word's share of it by counts over all training
+texts (plus one for each word, and one for unseen words).
 
 * Counts: every task counts the words of its training texts; counts are summed by word.
-* Training: every task trains from the same start on all its training texts, in minibatches with
-  noise drawn from the class frequencies; the models are averaged, weighted by tokens, in a tree of
-  groups of bounded size. The state of a model has a fixed size.
-* Normalisation: there are only (CLASSES + 1)^2 contexts, so one batched matrix product over all of
-  them gives the normaliser of each, and all probabilities are exact.
+* Steps: entries are sorted by frequency and cut into classes of classes of about equal size, the
+  cube root of their number. Products of the prediction with the vectors of classes, of classes
+  within a class and of entries within such a class, plus biases, give the scores of three steps.
+* Training: every task trains from the same start on all its training texts, in minibatches, with
+  noise drawn from the frequencies for the first step and evenly from the same class for the others.
+  The models are averaged row by row, weighted by the times that a task met the row, in a tree of
+  groups of bounded size. The state of a model grows with the number of entries.
+* Normalisation: each step is normalised over all its members, so all probabilities are exact.
 * Scoring: words with at least ``HEAD_SHARE`` of all training tokens are looked up where the text
   lies; there are at most 1 / HEAD_SHARE of them, however large the corpus, which bounds what is
   broadcast. Rarer words are summed by text and word, and joined with their counts.
 
 Words are compared by 64-bit hashes. NULL texts are empty and have the end as their only token; a
 NULL doc_id counts as an empty text in the split; repeated rows are scored, and learnt from, each.
-Without any training text all counts are zero and classes are equally probable. An empty table gives
+Without any training text all counts are zero and the entries are about equally probable. An empty table gives
 no rows. Further columns are ignored.
 """
 
@@ -34,18 +37,22 @@ from pyspark.sql import functions as F
 from sparkmart.llm import shared
 from sparkmart.llm.words import Words, bytes_of, chunks
 
-OWN = 448  # most frequent words with a class of their own
+OWN = 448  # most frequent words, numbered before the buckets; the other entries come after START
 LENGTHS = (4, 6, 8, 10, 13, 17)
 BUCKETS = 9 * (len(LENGTHS) + 1)
 CLASSES = 1 + OWN + BUCKETS
 END, START = 0, CLASSES  # START stands before a text
 DIM = 16
 NOISE = 24
+WITHIN = 2  # noise of a token in each of the steps within a class
+ROWS = 8192  # of a model's state, sent together
+LEAST = 3_000_000  # tokens for a model of its own
 BATCH = 2048
 RATE = 0.08
 HEAD_SHARE = 5e-7
 FLUSH = 1_000_000
 FOLD, HELD_OUT = 7, 2
+SHIFT = np.uint64(44)  # words are looked up by the upper 20 bits first
 
 
 def held_out():
@@ -101,14 +108,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Head words (sorted hashes) with their counts and classes; totals of words and classes."""
+    """Head words (sorted hashes) with their counts and entries; totals of words and entries.
+
+    ``class_n`` and ``class_v`` are tokens and words of the first CLASSES entries, those of buckets
+    without head words; ``more_n`` are tokens of the entries after START.
+    """
 
     def __init__(self, word, bucket, n, by_bucket: dict[int, tuple[int, int]], texts: int):
         order = np.argsort(word, kind="stable")
         self.word, self.n = word[order], n[order].astype(np.int64)
-        self.cls = (1 + OWN + bucket[order]).astype(np.int32)
-        top = np.lexsort((self.word, -self.n))[:OWN]
+        begin = np.searchsorted(self.word >> SHIFT, np.arange((1 << 20) + 1, dtype=np.uint64))
+        self.first, self.most = begin[:-1].astype(np.int32), int(np.diff(begin).max())
+        rank = np.lexsort((self.word, -self.n))
+        top, more = rank[:OWN], rank[OWN:]
+        self.cls = np.zeros(len(rank), np.int32)
         self.cls[top] = 1 + np.arange(len(top))
+        self.cls[more] = START + 1 + np.arange(len(more))
+        self.more_n = self.n[more]
         self.texts = texts
         self.tokens = sum(c for c, _ in by_bucket.values()) + texts
         self.distinct = sum(v for _, v in by_bucket.values()) + (texts > 0)
@@ -117,21 +133,24 @@ class Vocabulary:
         self.class_n[END], self.class_v[END] = texts, 1
         for b, (c, v) in by_bucket.items():
             self.class_n[1 + OWN + b], self.class_v[1 + OWN + b] = c, v
-        np.subtract.at(self.class_n, 1 + OWN + bucket[order][top], self.n[top])
-        np.subtract.at(self.class_v, 1 + OWN + bucket[order][top], 1)
+        np.subtract.at(self.class_n, 1 + OWN + bucket[order], self.n)
+        np.subtract.at(self.class_v, 1 + OWN + bucket[order], 1)
         self.class_n[1 : 1 + len(top)], self.class_v[1 : 1 + len(top)] = self.n[top], 1
 
     def find(self, hashes: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each word is a head word, its count (0 if not) and its class."""
+        """Whether each word is a head word, its count (0 if not) and its entry."""
         if not len(self.word):
             return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), (1 + OWN + bucket).astype(np.int32)
-        at = np.minimum(np.searchsorted(self.word, hashes), len(self.word) - 1)
-        hit = self.word[at] == hashes
+        at = self.first.take((hashes >> SHIFT).astype(np.int64))
+        for _ in range(self.most):
+            at += self.word.take(at, mode="clip") < hashes
+        np.minimum(at, len(self.word) - 1, out=at)
+        hit = self.word.take(at) == hashes
         return hit, np.where(hit, self.n[at], 0), np.where(hit, self.cls[at], 1 + OWN + bucket).astype(np.int32)
 
 
 def with_ends(words: Words, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all tokens with the ends put in, of the two before each, and each text's first."""
+    """Entries of all tokens with the ends put in, of the two before each, and each text's first."""
     n = len(words.at) - 1
     first = words.at + np.arange(n + 1)
     out = np.zeros(first[-1], np.int32)
@@ -146,108 +165,181 @@ def with_ends(words: Words, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 class Model:
-    """Vectors of context and target classes, position matrices and biases."""
+    """Vectors of context entries, classes and target entries with biases, and position matrices.
 
-    SHAPES = ((CLASSES + 1, DIM), (DIM, DIM), (DIM, DIM), (CLASSES, DIM), (CLASSES,))
+    All are rows of one table, each with its bias (or 0) last: contexts by entry, the three steps'
+    members (entries in the order of ``place``), and the rows of the two matrices.
+    """
 
-    def __init__(self, class_n: np.ndarray, seed: int = 11):
+    def __init__(self, class_n: np.ndarray, more_n: np.ndarray | tuple = (), seed: int = 11):
         draw = np.random.default_rng(seed)
-        share = (class_n + 1.0) / (class_n.sum() + len(class_n))
-        self.noise = share
-        self.state = [draw.normal(0, 0.1, s).astype(np.float32) for s in self.SHAPES]
-        for k in (1, 2):
-            self.state[k] = (np.eye(DIM) * 0.5 + 0.02 * self.state[k]).astype(np.float32)
-        self.state[4] = np.log(share).astype(np.float32)
-
-    def dump(self) -> bytes:
-        return b"".join(x.astype("<f4").tobytes() for x in self.state)
-
-    def load(self, flat: np.ndarray) -> None:
-        at = 0
-        for k, shape in enumerate(self.SHAPES):
-            size = int(np.prod(shape))
-            self.state[k] = flat[at : at + size].reshape(shape).astype(np.float32)
-            at += size
+        n = np.concatenate([class_n, np.asarray(more_n, np.int64)]) + 1.0
+        order = np.argsort(-n, kind="stable")
+        leaves = len(n)
+        self.place = np.zeros(leaves + 1, np.int32)  # START is no target
+        self.place[np.where(order < START, order, order + 1)] = np.arange(leaves)
+        width = 2
+        while width**3 < leaves:
+            width += 1
+        self.width = width
+        self.over = (width * width, width, 1)  # entries below a member of each step
+        self.sizes = [-(-leaves // x) for x in self.over]
+        self.at = np.cumsum([leaves + 1, *self.sizes])
+        self.table = draw.normal(0, 0.1, (self.at[-1] + 2 * DIM, DIM + 1)).astype(np.float32)
+        self.table[:, DIM] = 0
+        self.noise = np.add.reduceat(n[order], np.arange(self.sizes[0]) * self.over[0]) / n.sum()
+        whole = np.ones(1)
+        for at, size, x in zip(self.at, self.sizes, self.over):
+            share = np.add.reduceat(n[order], np.arange(size) * x) / n.sum()
+            self.table[at : at + size, DIM] = np.log(share / whole[np.arange(size) // width % len(whole)])
+            whole = share
+        for k in (0, 1):
+            matrix = self.table[self.at[-1] + k * DIM :][:DIM, :DIM]
+            matrix[:] = np.eye(DIM) * 0.5 + 0.02 * matrix
+        self.weight = np.zeros(len(self.table))
+
+    def matrices(self) -> tuple[np.ndarray, np.ndarray]:
+        at = self.at[-1]
+        return self.table[at : at + DIM, :DIM], self.table[at + DIM :, :DIM]
+
+    def parts(self) -> Iterator[bytes]:
+        """The table, ``ROWS`` rows at a time: each row times its weight, and the weight."""
+        for at in range(0, len(self.table), ROWS):
+            weight = self.weight[at : at + ROWS, None]
+            yield np.hstack([self.table[at : at + ROWS] * weight, weight]).astype("<f4").tobytes()
+
+    def load(self, part: int, sums: np.ndarray) -> None:
+        """Rows of a part from sums over models; rows that none has met stay."""
+        sums = sums.reshape(-1, DIM + 2)
+        met = np.flatnonzero(sums[:, -1])
+        self.table[part * ROWS + met] = sums[met, :-1] / sums[met, -1:]
 
     def trainer(self, seed: int):
-        """A function that takes one minibatch (classes, one before, two before) and learns from it."""
-        squares = [np.full(s, 1e-3, np.float32) for s in self.SHAPES]
+        """A function that takes one minibatch (entries, one before, two before) and learns from it."""
+        table, place, width = self.table, self.place, self.width
+        squares = np.full(table.shape, 1e-3, np.float32)
         draw = np.random.default_rng(seed)
-        lift = np.log(NOISE * self.noise).astype(np.float32)
-        heap = np.cumsum(self.noise)
-
-        def scatter(index, rows, size):
-            out = np.empty((size, DIM), np.float32)
-            for d in range(DIM):
-                out[:, d] = np.bincount(index, weights=rows[:, d], minlength=size)
-            return out
+        heap, lift = np.cumsum(self.noise), np.log(NOISE * self.noise).astype(np.float32)
+        slot = np.zeros(len(table), np.int32)
+        last = np.arange(self.at[-1], len(table))
+        room = np.empty((DIM + 1, BATCH * (3 + 2 * (1 + WITHIN)) + NOISE + 2 * DIM))
 
         def learn(target, one, two):
-            context, first, second, vectors, bias = self.state
-            a, b = context[one], context[two]
+            leaf, n = place[target], len(target)
+            first, second = self.matrices()
+            a, b = table.take(one, axis=0)[:, :DIM], table.take(two, axis=0)[:, :DIM]
             predicted = a @ first + b @ second
-            noise = np.minimum(np.searchsorted(heap, draw.random(NOISE)), CLASSES - 1)
-            near = vectors[target]
-            good = (predicted * near).sum(axis=1) + bias[target] - lift[target]
-            bad = predicted @ vectors[noise].T + (bias[noise] - lift[noise])
-            # Derivatives of log sigmoid(good) + sum log sigmoid(-bad).
+            # The first step shares its noise. Derivatives of log sigmoid(good) + sum log sigmoid(-bad).
+            near = leaf // self.over[0]
+            noise = np.minimum(np.searchsorted(heap, draw.random(NOISE)), len(heap) - 1)
+            top = table[self.at[0] : self.at[1]]
+            own, others = top.take(near, axis=0), top[noise]
+            good = np.einsum("nd,nd->n", predicted, own[:, :DIM]) + own[:, DIM] - lift[near]
+            bad = predicted @ others[:, :DIM].T + (others[:, DIM] - lift[noise])
             up = 1 / (1 + np.exp(np.clip(good, -30, 30)))
             down = -1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-            n = np.float32(len(target))
-            to = up[:, None] * near + down @ vectors[noise]
-            grads = [
-                scatter(one, to @ first.T, CLASSES + 1) + scatter(two, to @ second.T, CLASSES + 1),
-                a.T @ to,
-                b.T @ to,
-                scatter(target, up[:, None] * predicted, CLASSES),
-                np.bincount(target, weights=up, minlength=CLASSES).astype(np.float32),
-            ]
-            np.add.at(grads[3], noise, down.T @ predicted)
-            np.add.at(grads[4], noise, down.sum(axis=0))
-            for value, square, grad in zip(self.state, squares, grads):
-                grad /= n
-                square += grad * grad
-                value += RATE * grad / np.sqrt(square)
+            to = up[:, None] * own[:, :DIM] + down @ others[:, :DIM]
+            # Columns are summed by row of the table; the derivatives lie by column, as bincount wants them.
+            turned = np.ascontiguousarray(predicted.T)
+            index = [self.at[0] + near, self.at[0] + noise]
+            total = n * (3 + 2 * (1 + WITHIN)) + NOISE + 2 * DIM
+            rows, end = (room[:, :total] if n <= BATCH else np.empty((DIM + 1, total))), n + NOISE
+            np.multiply(turned, up, out=rows[:DIM, :n])
+            rows[:DIM, n:end] = predicted.T @ down
+            rows[DIM, :n], rows[DIM, n:end] = up, down.sum(axis=0)
+            for at, size, x in zip(self.at[1:], self.sizes[1:], self.over[1:]):
+                member = leaf // x
+                low = member // width * width
+                among = np.minimum(size - low, width)
+                drawn = (draw.random((WITHIN, n), dtype=np.float32) * among).astype(np.int32)
+                ids = np.empty((1 + WITHIN, n), np.int64)
+                ids[0] = at + member
+                ids[1:] = at + low + np.minimum(drawn, among - 1)
+                near = table.take(ids, axis=0)
+                scores = np.einsum("nd,knd->kn", predicted, near[:, :, :DIM]) + near[:, :, DIM]
+                scores -= np.log(WITHIN / among.astype(np.float32))
+                pull = -1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+                pull[0] += 1
+                to += np.einsum("kn,knd->nd", pull, near[:, :, :DIM])
+                index.append(ids.ravel())
+                begin, end = end, end + pull.size
+                np.multiply(turned[:, None, :], pull, out=rows[:DIM, begin:end].reshape(DIM, 1 + WITHIN, n))
+                rows[DIM, begin:end] = pull.ravel()
+            index += [one, two, last]
+            rows[DIM, end:] = 0
+            for more in (first @ to.T, second @ to.T, to.T @ a, to.T @ b):
+                begin, end = end, end + more.shape[1]
+                rows[:DIM, begin:end] = more
+            index = np.concatenate(index)
+            each = np.arange(len(index), dtype=np.int32)
+            slot[index] = each
+            met = index[slot.take(index) == each]
+            slot[met] = np.arange(len(met), dtype=np.int32)
+            into = slot.take(index).astype(np.int64)
+            grad = np.empty((len(met), DIM + 1), np.float32)
+            for d, column in enumerate(rows):
+                grad[:, d] = np.bincount(into, weights=column, minlength=len(met))
+            square = squares.take(met, axis=0)
+            square += grad * grad
+            squares[met] = square
+            grad *= RATE
+            grad /= np.sqrt(square, out=square)
+            grad += table.take(met, axis=0)
+            table[met] = grad
+            self.weight[met] += np.bincount(into, minlength=len(met))
 
         return learn
 
-    def normalisers(self) -> np.ndarray:
-        """Logarithm of the summed scores for each pair of classes before a token."""
-        context, first, second, vectors, bias = (x.astype(np.float64) for x in self.state)
-        a, b = context @ first, context @ second
-        out = np.empty((CLASSES + 1, CLASSES + 1))
-        for one in range(CLASSES + 1):
-            scores = (a[one] + b) @ vectors.T + bias
-            top = scores.max(axis=1)
-            out[one] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
-        return out
-
     def scorer(self):
-        """A function from classes and the two before each to natural log-probabilities."""
-        context, first, second, vectors, bias = self.state
-        a, b, norm = context @ first, context @ second, self.normalisers()
+        """A function from entries and the two before each to natural log-probabilities."""
+        first, second = self.matrices()
+        contexts = self.table[: self.at[0], :DIM]
+        a, b = contexts @ first, contexts @ second
+
+        def step(predicted, at, low, size, member):
+            """Log-probabilities of ``member`` among the ``size`` members from ``low`` on."""
+            rows = self.table[at + low : at + low + size]
+            scores = rows[:, :DIM] @ predicted
+            scores += rows[:, DIM:]
+            own = scores[member - low, np.arange(len(member))]
+            top = scores.max(axis=0)
+            scores -= top
+            return own - top - np.log(np.exp(scores, out=scores).sum(axis=0))
 
         def score(target, one, two):
-            predicted = a[one] + b[two]
-            return np.einsum("nd,nd->n", predicted, vectors[target]).astype(float) + bias[target] - norm[one, two]
+            leaf = self.place[target]
+            group = leaf // self.width
+            order = np.argsort(group.astype(np.uint16) if self.sizes[1] < 1 << 16 else group, kind="stable")
+            leaf = leaf[order]
+            predicted = a.take(one[order], axis=0)
+            predicted += b.take(two[order], axis=0)
+            predicted = np.ascontiguousarray(predicted.T)
+            out = np.zeros(len(leaf))
+            for k, (at, size, x) in enumerate(zip(self.at, self.sizes, self.over)):
+                member = leaf // x
+                parent = member // self.width if k else np.zeros_like(member)
+                cuts = np.append(np.flatnonzero(np.diff(parent, prepend=-1)), len(leaf))
+                lows = (parent[cuts[:-1]] * self.width).tolist()
+                for low, i, end in zip(lows, cuts[:-1].tolist(), cuts[1:].tolist()):
+                    among = min(self.width, size - low) if k else size
+                    for j in range(i, end, BATCH):
+                        s = slice(j, min(end, j + BATCH))
+                        out[s] += step(predicted[:, s], at, low, among, member[s])
+            back = np.empty_like(out)
+            back[order] = out
+            return back
 
         return score
 
 
-def _train(texts: DataFrame, vocabulary, start: Model, folder: str) -> Model:
+def _train(texts: DataFrame, vocabulary, start: Model, folder: str, tokens: int) -> Model:
     """Average of the models that the tasks train on all rows of ``texts``."""
     import pandas as pd
 
-    noise = start.noise
-    state = np.frombuffer(start.dump(), "<f4")
-    size = len(state)
-
     def task(batches) -> Iterator:
         import pyarrow as pa
 
-        model = Model(np.zeros(CLASSES))
-        model.noise = noise
-        model.load(state)
+        model = Model(vocabulary.value.class_n, vocabulary.value.more_n)
         learn, seen = model.trainer(5), 0
         held: list[list[np.ndarray]] = []
         for batch in batches:
@@ -266,28 +358,26 @@ def _train(texts: DataFrame, vocabulary, start: Model, folder: str) -> Model:
             learn(*held[0])
             seen += len(held[0][0])
         if seen:
-            yield pa.RecordBatch.from_pydict({"weight": [float(seen)], "state": [model.dump()]})
-
-    def average(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        weight = pdf["weight"].to_numpy()
-        sums = sum(w * np.frombuffer(s, "<f4").astype(float) for w, s in zip(weight, pdf["state"]))
-        return pd.DataFrame({"weight": [weight.sum()], "state": [(sums / weight.sum()).astype("<f4").tobytes()]})
-
-    average.__annotations__ = {}
-    models = shared.staged(texts.mapInArrow(task, "weight double, state binary"), folder, "models-0")
-    step = 0
-    while (n := models.count()) > 64:  # one row for each task; 64 models at a time meet in a group
+            for k, sums in enumerate(model.parts()):
+                yield pa.RecordBatch.from_pydict({"part": pa.array([k], pa.int32()), "sums": [sums]})
+
+    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(s, "<f4").astype(float) for s in pdf["sums"].sort_values())
+        return pd.DataFrame({"part": [key[0]], "sums": [total.astype("<f4").tobytes()]})
+
+    add.__annotations__ = {}
+    # Small partitions train together, as each model has all entries.
+    many = -(-max(1, tokens) // LEAST)
+    models = shared.staged(texts.coalesce(many).mapInArrow(task, "part int, sums binary"), folder, "models-0")
+    n, step = models.where("part = 0").count(), 0  # one for each task; about 32 models meet in a group
+    while n > 1:
         step += 1
-        group = F.pmod(F.xxhash64("state", "weight"), F.lit(-(-n // 32))).alias("part")
-        merged = models.select("*", group).groupBy("part").applyInPandas(average, "weight double, state binary")
+        group = F.pmod(F.xxhash64("sums"), F.lit(-(-n // 32) if n > 64 else 1)).alias("group")
+        merged = models.select("*", group).groupBy("part", "group").applyInPandas(add, "part int, sums binary")
         models = shared.staged(merged, folder, f"models-{step}")
-    rows = models.collect()
-    total, sums = 0.0, np.zeros(size)
-    for row in sorted(rows, key=lambda r: (r.weight, bytes(r.state))):
-        total += row.weight
-        sums += row.weight * np.frombuffer(row.state, "<f4")
-    if total:
-        start.load((sums / total).astype(np.float32))
+        n = models.groupBy("part").count().agg(F.max("count")).first()[0]
+    for row in models.collect():
+        start.load(row.part, np.frombuffer(row.sums, "<f4"))
     return start
 
 
@@ -307,7 +397,7 @@ def fit(docs: DataFrame, folder: str) -> tuple[Vocabulary, DataFrame, Model]:
     column = lambda c: head.column(c).to_numpy()
     vocabulary = Vocabulary(column("word").view(np.uint64), column("bucket"), column("n"), by_bucket, texts)
     sent = spark.sparkContext.broadcast(vocabulary)
-    model = _train(train, sent, Model(vocabulary.class_n), folder)
+    model = _train(train, sent, Model(vocabulary.class_n, vocabulary.more_n), folder, tokens)
     return vocabulary, counts.select("word", "n"), model
 
 
@@ -322,7 +412,6 @@ def score(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, model: Mod
         vocabulary, model = sent.value
         log_p = model.scorer()
         below = np.log10(vocabulary.class_n + vocabulary.class_v + 1.0)
-        own = np.arange(CLASSES) <= OWN  # a class of one word: its share is 1
         end_log = np.log10(vocabulary.texts + 1.0)
         base_below = np.log10(vocabulary.tokens + vocabulary.distinct + 1.0)
         for batch in batches:
@@ -341,7 +430,8 @@ def score(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, model: Mod
                 sums = lambda x: np.bincount(text, weights=x, minlength=size)  # noqa: E731, B023
                 tokens = np.diff(first)
                 base = sums(logs) + end_log - tokens * base_below
-                inside = np.where(own[cls], 0.0, logs - below[cls])
+                inside = np.zeros(len(cls))  # an entry of one word: its share is 1
+                inside[~hit] = -below[cls[~hit]]
                 model_score = class_log + sums(inside)
                 known = sums(hit).astype(np.int64) + (vocabulary.texts > 0)
                 # Rarer words: number of times in each text.

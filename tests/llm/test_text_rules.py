@@ -264,3 +264,38 @@ def test_language_model_is_normalised_and_learns(no_docs, folder):
     total = np.exp(score(every, np.full_like(every, 3), np.full_like(every, 2))).sum()
     assert total == pytest.approx(1, abs=1e-4)
     assert bilinear.score(no_docs, *bilinear.fit(no_docs, folder), folder).collect() == []
+
+
+def test_rare_words_of_one_length_are_told_apart(spark, folder):
+    """152 words of one length, rarer than 448 others, follow each other in pairs."""
+    from sparkmart.llm import shared
+
+    shared.ship(spark)
+    draw = np.random.default_rng(3)
+    out = [i for i in range(60_000) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    word = [f"w{i:03d}" for i in range(600)]
+    rows = []
+    for i in (i for i in range(4000) if i not in out):
+        pairs = draw.integers(224, 300, 6) if i % 2 else draw.integers(0, 224, 30)
+        rows.append((i, " ".join(f"{word[2 * j]} {word[2 * j + 1]}" for j in pairs)))
+    tried = draw.permutation(np.arange(224, 300))
+    right = " ".join(f"{word[2 * j]} {word[2 * j + 1]}" for j in tried)
+    wrong = " ".join(f"{word[2 * j]} {word[2 * k + 1]}" for j, k in zip(tried, np.roll(tried, 1)))
+    docs = spark.createDataFrame([*rows, (out[0], right), (out[1], wrong)], "doc_id long, text string").coalesce(2)
+    vocabulary, counts, model = bilinear.fit(docs, folder)
+    assert len(set(vocabulary.cls.tolist())) == 600
+    got = {r.doc_id: r for r in bilinear.score(docs, vocabulary, counts, model, folder).collect()}
+    assert got[out[0]].base_score == pytest.approx(got[out[1]].base_score)
+    assert got[out[0]].score > got[out[1]].score + 5
+
+
+def test_all_steps_of_the_language_model_are_normalised():
+    draw = np.random.default_rng(1)
+    model = bilinear.Model(draw.integers(0, 50, bilinear.CLASSES), draw.integers(1, 90, 3000))
+    every = np.delete(np.arange(bilinear.CLASSES + 3001), bilinear.START)
+    learn = model.trainer(2)
+    for _ in range(20):
+        learn(*(draw.choice(every, bilinear.BATCH) for _ in range(3)))
+    for one, two in ((bilinear.START, bilinear.START), (every[-1], 3), (700, 2900)):
+        total = np.exp(model.scorer()(every, np.full_like(every, one), np.full_like(every, two))).sum()
+        assert total == pytest.approx(1, abs=1e-4)
