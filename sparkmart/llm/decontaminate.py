@@ -8,13 +8,17 @@ that alignment is verified token by token: it counts as an overlap if, in some s
 tokens equal those of the document. Exchanged tokens are tolerated, inserted or dropped ones end a
 stretch.
 
+Items shorter than a stretch also have seeds without gaps. An item of n tokens in which e may differ
+keeps a run of n // (e + 1) tokens whole, wherever the e are, so its runs of that length miss no
+overlap. Documents have such seeds for the lengths that the benchmark needs (at most four tokens).
+
 DataFrame functions only. Benchmark seeds are the broadcast side; their number is counted first, and
 a benchmark with more than ``BLOCK_SEEDS`` of them is taken in blocks of items, each in a pass of
 its own. Only hits, as (document, item, shift), leave that pass; they are made distinct and joined
 with the texts of their documents to be verified.
 
-Tokens are the maximal runs of letters and digits of the lower-cased text. Texts or items that are
-NULL, empty or shorter than a seed have no seeds and thus no overlaps. Repeated documents are
+Tokens are the maximal runs of letters and digits of the lower-cased text. Texts or items without
+tokens have no seeds and thus no overlaps; an item of one token overlaps every text with it. Repeated documents are
 grouped by doc_id, repeated items by item_id; a NULL id is an id like any other. An empty table
 gives no rows. Columns other than the ids and the texts are ignored.
 """
@@ -42,17 +46,24 @@ def tokens(text: Column) -> Column:
     return F.transform(F.array_remove(parts, ""), lambda x: F.xxhash64(x))
 
 
-def seeds(words: Column) -> Column:
+def seeds(words: Column, masks: tuple[tuple[int, ...], ...] = MASKS) -> Column:
     """Seed hashes of all starts by the first mask, then by the second."""
+    span = max(map(max, masks)) + 1
 
     def by(number: int, mask: tuple[int, ...]) -> Column:
-        starts = F.sequence(F.lit(0), F.size(words) - SPAN)
+        starts = F.sequence(F.lit(0), F.size(words) - span)
         return F.transform(starts, lambda i: F.xxhash64(F.lit(number), *[F.get(words, i + k) for k in mask]))
 
-    return F.concat(*[by(number, mask) for number, mask in enumerate(MASKS)])
+    return F.concat(*[by(number, mask) for number, mask in enumerate(masks)])
+
+
+def run_length(size: Column, share: float) -> Column:
+    """Length of the run that an item of ``size`` tokens keeps in every overlap, if it is a short one."""
+    spare = size - F.ceil(size * F.lit(share))
+    return F.floor(size / (spare + 1)).cast("int")
 
 
-def _rows(df: DataFrame, key: str, words: str, at: str) -> DataFrame:
+def _rows(df: DataFrame, key: str, words: str, at: str, masks: tuple[tuple[int, ...], ...] = MASKS) -> DataFrame:
     """(key, at, seed) of every seed of texts with as many tokens as a seed has.
 
     Hashes are made in a projection of their own, so that only narrow rows leave the generator. It
@@ -60,8 +71,8 @@ def _rows(df: DataFrame, key: str, words: str, at: str) -> DataFrame:
     it, with all that makes up the array, to where the tokens would be made anew for each element.
     Texts without seeds give a row without a seed, which no join keeps.
     """
-    size = F.size(words)
-    made = df.select(key, (size - SPAN + 1).alias("_starts"), F.when(size >= SPAN, seeds(F.col(words))).alias("_seeds"))
+    size, span = F.size(words), max(map(max, masks)) + 1
+    made = df.select(key, (size - span + 1).alias("_starts"), F.when(size >= span, seeds(F.col(words), masks)).alias("_seeds"))
     each = made.select(key, "_starts", F.posexplode_outer("_seeds").alias("_at", "seed"))
     return each.select(key, (F.col("_at") % F.col("_starts")).alias(at), "seed")
 
@@ -92,17 +103,26 @@ def overlaps(
     """Verified overlaps: doc_id, item_id, the number of alignments, where the first one puts the
     item in the document (in tokens), and the best number of matches of an alignment."""
     items = benchmark.select("item_id", tokens(F.col("text")).alias("item"))
-    n_seeds = items.agg(F.sum(F.greatest(F.size("item") - SPAN + 1, F.lit(0)))).head()[0] or 0
-    blocks = max(1, -(-int(n_seeds) * len(MASKS) // BLOCK_SEEDS))
-    rows = _rows(docs.select("doc_id", tokens(F.col("text")).alias("doc")), "doc_id", "doc", "doc_at")
+    short = F.size("item").between(1, stretch - 1)
+    run = F.when(short, run_length(F.size("item"), share))
+    kinds = [(MASKS, items, SPAN)]
+    runs = items.select(run.alias("run")).where("run IS NOT NULL").distinct().collect()
+    for n in sorted(r.run for r in runs):
+        kinds.append(((tuple(range(n)),), items.where(run == n), n))
+    words = docs.select("doc_id", tokens(F.col("text")).alias("doc"))
     found = []
-    for block in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
-        places = _rows(some, "item_id", "item", "item_at")  # at most about BLOCK_SEEDS rows
-        hits = rows.join(F.broadcast(places), "seed")
-        shift = (F.col("doc_at") - F.col("item_at")).alias("shift")
-        found.append(shared.staged(hits.select("doc_id", "item_id", shift).distinct(), folder, f"hits-{block}"))
-    hits = reduce(DataFrame.unionByName, found).select(F.col("doc_id").alias("_doc_id"), "item_id", "shift")
+    for masks, its, span in kinds:
+        n_seeds = its.agg(F.sum(F.greatest(F.size("item") - span + 1, F.lit(0)))).head()[0] or 0
+        blocks = max(1, -(-int(n_seeds) * len(masks) // BLOCK_SEEDS))
+        rows = _rows(words, "doc_id", "doc", "doc_at", masks)
+        for block in range(blocks):
+            some = its.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else its
+            places = _rows(some, "item_id", "item", "item_at", masks)  # at most about BLOCK_SEEDS rows
+            hits = rows.join(F.broadcast(places), "seed")
+            shift = (F.col("doc_at") - F.col("item_at")).alias("shift")
+            hits = hits.select("doc_id", "item_id", shift).distinct()
+            found.append(shared.staged(hits, folder, f"hits-{len(found)}"))
+    hits = reduce(DataFrame.unionByName, found).distinct().select(F.col("doc_id").alias("_doc_id"), "item_id", "shift")
     texts = docs.select("doc_id", "text")
     both = texts.join(hits, texts["doc_id"].eqNullSafe(hits["_doc_id"])).select("doc_id", "text", F.col("item_id").alias("_item_id"), "shift")
     both = both.join(items, both["_item_id"].eqNullSafe(items["item_id"]))

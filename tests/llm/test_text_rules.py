@@ -299,3 +299,27 @@ def test_all_steps_of_the_language_model_are_normalised():
     for one, two in ((bilinear.START, bilinear.START), (every[-1], 3), (700, 2900)):
         total = np.exp(model.scorer()(every, np.full_like(every, one), np.full_like(every, two))).sum()
         assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_short_items_are_found_at_every_length(spark, folder):
+    """All patterns with the most exchanges that the rule allows, for items of every length under 20."""
+    items, docs, want = [], [], set()
+    draw = np.random.default_rng(5)
+    for n in range(1, decontaminate.STRETCH):
+        words = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        most = n - math.ceil(n * decontaminate.SHARE)
+        patterns = list(combinations(range(n), most))
+        for at in draw.permutation(len(patterns))[:150]:
+            text = ["other" if k in patterns[at] else w for k, w in enumerate(words)]
+            docs += [(len(docs), " ".join(text)), (len(docs) + 1, "before " + " ".join(text) + " after")]
+            want |= {(len(docs) - 2, n), (len(docs) - 1, n)}
+        if n > most + 1:
+            docs.append((len(docs), " ".join(["other"] * (most + 1) + words[most + 1 :])))  # one too many
+        if most:
+            docs.append((len(docs), " ".join(words[most:])))  # the text begins inside the item
+            want.add((len(docs) - 1, n))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.overlaps(d, b, folder).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
