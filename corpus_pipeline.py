@@ -24,11 +24,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of near-duplicates."""
+    """Keep the row with the smallest id of each component of near-duplicates, NULL ids last.
+
+    Rows are told apart by a number of their own, so repeated ids and NULL ids are rows like any other.
+    """
     shared.ship(spark)
     folder = shared.workspace(spark, "stage-duplicates")
-    found = setsketch.near_duplicates(docs, folder)
-    return _only(docs, shared.staged(found.where("kept").select("doc_id"), folder, "kept"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_number"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    rows = shared.staged(rows, folder, "numbered")
+    numbered = rows.select(F.col("_number").alias("doc_id"), F.col("_row.text").alias("text"))
+    found = setsketch.near_duplicates(numbered, folder).select(F.col("doc_id").alias("_found"), "component_id")
+    found = shared.staged(found, folder, "components")
+    ids = rows.select("_number", F.col("_row.doc_id").alias("_id")).join(found, F.col("_number") == F.col("_found"))
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_number")).getField("_number").alias("_kept")
+    kept = shared.staged(ids.groupBy("component_id").agg(first).select("_kept"), folder, "kept")
+    left = rows.join(kept, rows["_number"] == kept["_kept"], "left_semi")
+    return left.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,17 @@ def test_queries_match_their_sql(spark, name):
 
 def test_ten_operators_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_near_duplicates_are_counted_by_rows(spark):
+    """Repeated rows, NULL ids, and one id with two texts."""
+    from tests_llm_helpers import invented
+
+    a, b, c, d = (invented(k, 60) for k in range(700, 704))
+    near = a + " tail"
+    rows = [(9, a), (3, a), (3, a), (None, near), (None, b), (None, b), (5, c), (5, d), (8, d), (2, None), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = dict(corpus_pipeline.STAGES)["near duplicates"](spark, docs, SF)
+    assert left.columns == docs.columns
+    want = [(3, a), (None, b), (5, c), (5, d), (2, None), (2, None)]
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
