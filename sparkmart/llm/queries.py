@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import bilinear, decontaminate, packing, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
+from sparkmart.llm import bilinear, decontaminate, packing, prefix_trie, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,10 +33,12 @@ QUERIES: dict[str, Query] = {
         secrets_crf.op8_secret_crf,
         bilinear.op9_log_bilinear,
         warc_zip.op10_warc_zip,
+        prefix_trie.op11_prefix_trie,
     )
 }
 SQL: dict[str, str] = {
     "op1_spaced_seeds": decontaminate.OP1_SQL,
     "op3_hash_tree_shards": shards.OP3_SQL,
     "op10_warc_zip": warc_zip.OP10_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
 }

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from sparkmart.llm import shared, warc_zip
-from tests_llm_helpers import folder, tables  # noqa: F401
+from tests_llm_helpers import corpus, folder, tables  # noqa: F401
 
 
 @pytest.mark.parametrize("zip64", [False, True])
