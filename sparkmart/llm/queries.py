@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.llm import bilinear, decontaminate, divergence, packing, prefix_trie, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
+from sparkmart.llm import bilinear, decontaminate, divergence, packing, personal_crf, prefix_trie, quality, secrets_crf, setsketch, shards, shared, suffix, token_files, warc_zip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,7 @@ QUERIES: dict[str, Query] = {
         bilinear.op9_log_bilinear,
         warc_zip.op10_warc_zip,
         prefix_trie.op11_prefix_trie,
+        personal_crf.op12_semi_markov_pii,
         divergence.op13_divergence_audit,
     )
 }
