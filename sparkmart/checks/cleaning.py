@@ -8,8 +8,9 @@ from sparkmart import schemas
 from sparkmart.checks import oracle_base as ob
 from sparkmart.functions import expr
 from sparkmart.operators import clean, dims, dq, profile
-from sparkmart.plans import silver
+from sparkmart.plans import incremental, silver
 from sparkmart.sources import testviews as tv
+from sparkmart.sources import workspace
 
 QUERIES = {}
 SQL = {}
@@ -172,6 +173,16 @@ def _silver(name):
     )
 
 
+def _incremental(name):
+    def run(spark, sf):
+        folder = workspace.new_folder(spark, "silver-state")
+        return incremental.entity(
+            spark, folder, name, tv.raw_entity(spark, sf, name), [tv.EARLIER_LOAD, tv.LOAD_DATE], buckets=8
+        )
+
+    return run
+
+
 for _query, _entity in {
     "silver_customers": "customers",
     "silver_transactions": "transactions",
@@ -182,6 +193,9 @@ for _query, _entity in {
 }.items():
     QUERIES[_query] = _silver(_entity)
     SQL[_query] = f"SELECT *, '{tv.LOAD_DATE}' AS silver_load_date FROM silver_{_entity}"
+    # The same rows from two loads, merged one after the other.
+    QUERIES[f"{_query}_incremental"] = _incremental(_entity)
+    SQL[f"{_query}_incremental"] = SQL[_query]
 
 for _query, _entity in {
     "staging_customers": "customers",

@@ -80,10 +80,14 @@ def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     )
 
 
-def fill_mean(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    """Replace NULLs by the rounded global mean, read as a scalar subquery in the same job."""
-    means = df.agg(F.struct(*[expr.rnd(F.avg(c), digits).alias(c) for c in columns])).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), means.getField(c)) for c in columns})
+def fill_mean(
+    df: DataFrame, columns: Sequence[str], digits: int = 2, known: Mapping[str, float | None] | None = None
+) -> DataFrame:
+    """Replace NULLs by the rounded global mean, read as a scalar subquery in the same job, or ``known``."""
+    if known is None:
+        means = df.agg(F.struct(*[expr.rnd(F.avg(c), digits).alias(c) for c in columns])).scalar()
+        return df.withColumns({c: F.coalesce(F.col(c), means.getField(c)) for c in columns})
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(known[c]).cast("double")) for c in columns})
 
 
 def outlier_bounds(df: DataFrame, columns: Sequence[str], k: float = 3.0):
@@ -91,15 +95,16 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str], k: float = 3.0):
     return df.agg(F.struct(*[(F.avg(c) + k * F.stddev(c)).alias(c) for c in columns])).scalar()
 
 
-def flag_outliers(df: DataFrame, flags: Mapping[str, str], k: float = 3.0) -> DataFrame:
-    """Add a boolean per column: above the upper ``k``-sigma bound. NULL is not an outlier."""
-    bounds = outlier_bounds(df, list(flags), k)
-    return df.withColumns(
-        {
-            flag: F.coalesce(F.col(c) > bounds.getField(c), F.lit(False))
-            for c, flag in flags.items()
-        }
-    )
+def flag_outliers(
+    df: DataFrame, flags: Mapping[str, str], k: float = 3.0, known: Mapping[str, float | None] | None = None
+) -> DataFrame:
+    """Add a boolean per column: above the upper ``k``-sigma bound. NULL is not an outlier.
+
+    ``known`` gives the bounds; else they are computed from ``df``.
+    """
+    bounds = outlier_bounds(df, list(flags), k) if known is None else None
+    bound = lambda c: F.lit(known[c]).cast("double") if bounds is None else bounds.getField(c)
+    return df.withColumns({flag: F.coalesce(F.col(c) > bound(c), F.lit(False)) for c, flag in flags.items()})
 
 
 def quality_score(df: DataFrame, penalties: Mapping[str, str]) -> DataFrame:

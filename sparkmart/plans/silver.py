@@ -100,14 +100,34 @@ def refine(
 ) -> DataFrame:
     """Apply a recipe. ``deduplicated`` skips the per-key pass for inputs already unique by key."""
     out = df if deduplicated else clean.dedup(df, recipe.key)
-    if recipe.bots:
-        out = clean.drop_bots(out)
-    out = clean.casing(out, recipe.title, recipe.lower, recipe.mapping)
+    # Bots go first, so that their rows are not normalised.
+    out = clean.drop_bots(out) if recipe.bots else out
+    return judged(normalise(out, recipe), recipe, load_date, k)
+
+
+def normalise(df: DataFrame, recipe: Recipe) -> DataFrame:
+    """The steps that look at one row: casing, dates, constant fills."""
+    out = clean.casing(df, recipe.title, recipe.lower, recipe.mapping)
     out = clean.parse_dates(out, recipe.dates)
     out = clean.parse_dates(out, recipe.timestamps, kind="timestamp")
-    out = clean.fill(out, recipe.fill) if recipe.fill else out
-    out = clean.fill_mean(out, recipe.fill_mean) if recipe.fill_mean else out
-    out = clean.flag_outliers(out, recipe.outliers, k) if recipe.outliers else out
+    return clean.fill(out, recipe.fill) if recipe.fill else out
+
+
+def judged(
+    df: DataFrame,
+    recipe: Recipe,
+    load_date: str | None = None,
+    k: float = 3.0,
+    means: Mapping[str, float | None] | None = None,
+    bounds: Mapping[str, float | None] | None = None,
+) -> DataFrame:
+    """Drop bots and take the steps that depend on all rows: mean fills, outlier flags and the score.
+
+    ``means`` and ``bounds`` are computed from ``df`` unless they are known.
+    """
+    out = clean.drop_bots(df) if recipe.bots else df
+    out = clean.fill_mean(out, recipe.fill_mean, known=means) if recipe.fill_mean else out
+    out = clean.flag_outliers(out, recipe.outliers, k, known=bounds) if recipe.outliers else out
     out = clean.quality_score(out.withColumn("is_duplicate", F.lit(False)), recipe.penalties)
     return out.withColumn("silver_load_date", F.lit(load_date)) if load_date else out
 

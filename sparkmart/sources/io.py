@@ -39,6 +39,38 @@ def write_bronze(df: DataFrame, path: str, partition: str = "load_date", fmt: st
     return int(seen.get["rows"])
 
 
+def with_rejects(df: DataFrame, schema: T.StructType, corrupt_col: str = "_corrupt") -> DataFrame:
+    """Mark malformed rows of ``read_raw``: adds ``rejected`` and ``reject_reason``.
+
+    The reason is the number of fields, or the columns whose text does not have the column's type;
+    both are read from the line again, which only malformed rows have.
+    """
+    line = F.col(corrupt_col)
+    texts = ", ".join(f"`{f.name}` string" for f in schema) + ", `_line` string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    parsed = F.from_csv(line, texts, options)
+    typed = [f for f in schema if not isinstance(f.dataType, T.StringType)]
+    wrong = [
+        F.when(parsed.getField(f.name).isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f"{f.name} is not {f.dataType.simpleString()}"))
+        for f in typed
+    ]
+    reason = F.when(parsed.getField("_line").isNotNull(), F.lit("wrong number of fields")).otherwise(F.concat_ws(", ", *wrong))
+    return df.withColumns({"reject_reason": F.when(line.isNotNull(), reason), "rejected": line.isNotNull()})
+
+
+def write_split(df: DataFrame, path: str, load_date: str, fmt: str = "parquet") -> tuple[int, int]:
+    """Write one load of ``with_rejects`` below ``path``, good rows and rejects in partitions of their
+    own, in one scan of the source; rows and rejects among them, counted while they are written.
+
+    The load's folder is replaced as a whole, so that no rejects of an earlier try stay.
+    """
+    seen = Observation("written")
+    frame = df.drop("load_date").observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("rejected"))
+    writer = frame.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("rejected").save(f"{path}/load_date={load_date}")
+    return int(seen.get["rows"]), int(seen.get["rejected"])
+
+
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     """A path (anything with a slash) or a catalog table."""
     return spark.read.format(fmt).load(source) if "/" in source else spark.read.table(source)
