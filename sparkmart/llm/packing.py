@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm import shared
-from sparkmart.llm.encode import encoder, tokenizer_path
+from sparkmart.llm.encode import closed, encoder, slices, tokenizer_path
 
 WINDOW = 2048
 GROUP_PIECES = 200_000
@@ -88,23 +88,25 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, w
     """Full windows and the rest of every document; ``with_ids`` adds the ids themselves."""
 
     def task(batches) -> Iterator:
-        encode = encoder(tokenizer_path(tokenizer), True).encode
-        end = np.array([end_id], "<u4").tobytes()
+        encode = encoder(tokenizer_path(tokenizer), True).column
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                out: list[tuple] = []
-                keys = zip(some.column("doc_id").to_pylist(), some.column("row").to_pylist())
-                for (doc, row), ids in zip(keys, encode(list(shared.texts_of(some.column("text"))))):
-                    ids += end
-                    n = len(ids) // 4
-                    for start in range(0, n, window):
-                        part = ids[4 * start : 4 * (start + window)]
-                        out.append((doc, row, start, len(part) // 4, zlib.crc32(part), n, *([part] * with_ids)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+            for some in slices(batch, "text"):
+                ids, ends = closed(*encode(some.column("text")), end_id)
+                ids = ids.astype("<u4", copy=False)
+                n = np.diff(np.concatenate([[0], ends]))
+                windows = -(-n // window)
+                owner = np.repeat(np.arange(len(n)), windows)
+                start = window * (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows))
+                length = np.minimum(window, n[owner] - start)
+                begin = (ends - n)[owner] + start
+                parts = [ids[i : i + k] for i, k in zip(begin.tolist(), length.tolist())]
+                sums = [zlib.crc32(x) for x in parts]
+                at = pa.array(owner)
+                columns = [some.column("doc_id").take(at), some.column("row").take(at), pa.array(start), pa.array(length), pa.array(sums, pa.int64()), pa.array(n[owner])]
+                columns += [pa.array([x.tobytes() for x in parts], pa.binary())] * with_ids
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
-    kinds = [pa.int64()] * 6 + [pa.binary()] * with_ids
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),

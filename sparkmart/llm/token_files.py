@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm import shared
-from sparkmart.llm.encode import encoder, tokenizer_path
+from sparkmart.llm.encode import closed, encoder, slices, tokenizer_path
 
 MAGIC = b"PFORIDS1"
 BLOCK = 4096
 FILE_IDS = 2_000_000
+TASK_IDS = 3 * FILE_IDS  # ids that one task reads back
 PERCENTILE = 90
 _HEAD = struct.Struct("<IBxHI")  # minimum, width, exceptions, bytes of the packed part
 _FOOT = struct.Struct("<QQQQ8s")
@@ -152,17 +153,16 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
         import pyarrow as pa
 
         part, made = TaskContext.get().partitionId(), 0
-        encode = encoder(tokenizer_path(tokenizer), False).encode
-        end = np.array([end_id], "<u4").tobytes()
+        encode = encoder(tokenizer_path(tokenizer), False).column
         doc_ids: list[int] = []
         counts: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         total = 0
 
         def flush():
             nonlocal made, total
             uri = f"{folder}/ids-{part:06d}-{made:05d}.pfor"
-            shared.put(uri, encode_file(doc_ids, counts, np.frombuffer(b"".join(held), "<u4")))
+            shared.put(uri, encode_file(doc_ids, counts, np.concatenate(held)))
             row = {"uri": [uri], "part": [part], "piece": [made], "n_docs": [len(doc_ids)], "n_ids": [total]}
             made, total = made + 1, 0
             for x in (doc_ids, counts, held):
@@ -171,14 +171,18 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
 
         schema = pa.schema([("uri", pa.string()), *((c, pa.int64()) for c in ("part", "piece", "n_docs", "n_ids"))])
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                keys = some.column("doc_id").to_pylist()
-                for key, ids in zip(keys, encode(list(shared.texts_of(some.column("text"))))):
-                    doc_ids.append(NULL_ID if key is None else key)
-                    counts.append(len(ids) // 4 + 1)
-                    held += (ids, end)
-                    total += counts[-1]
+            for some in slices(batch, "text"):
+                ids, ends = closed(*encode(some.column("text")), end_id)
+                keys = some.column("doc_id").fill_null(NULL_ID).to_pylist()
+                at = 0
+                while at < len(keys):  # as many documents as the file still takes
+                    begin = int(ends[at - 1]) if at else 0
+                    to = min(len(keys), int(np.searchsorted(ends, begin + FILE_IDS - total)) + 1)
+                    doc_ids += keys[at:to]
+                    counts += np.diff(np.concatenate([[begin], ends[at:to]])).tolist()
+                    held.append(ids[begin : ends[to - 1]])
+                    total += len(held[-1])
+                    at = to
                     if total >= FILE_IDS:
                         yield flush()
         if doc_ids:
@@ -221,7 +225,9 @@ def read(files: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = placed.repartition(F.col("uri"))
+    # A number of tasks is given, as adaptive execution would put the few short rows into one.
+    total = files.agg(F.sum("n_ids")).first()[0] or 0
+    spread = placed.repartition(max(1, -(-total // TASK_IDS)))
     return spread.mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkmart.llm import encode, packing, shared, token_files
@@ -12,7 +13,6 @@ def plain(name, texts, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(encode.tokenizer_path(name))
-    tokenizer.encode_special_tokens = True
     return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [end], "<u4") for t in texts]
 
 
@@ -24,6 +24,29 @@ def test_cached_encoder_equals_the_tokenizer(corpus, name, blank):
         assert np.frombuffer(got, "<u4").tolist() == want[:-1].tolist()
 
 
+@pytest.mark.parametrize("name,blank", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_long_texts_small_slices_and_forgetting(corpus, name, blank, monkeypatch):
+    monkeypatch.setattr(encode, "LONG", 40)
+    monkeypatch.setattr(encode, "KNOWN_PARTS", 50)
+    texts = [t for _, t, *_ in corpus if t is None or len(t) < 20_000] + ["b  " * 90, "<|startoftext|>a<|endoftext|> b " * 9, "x" * 100 + " y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    one = encode.Encoder(encode.tokenizer_path(name), blank)
+    got, rows = [], 0
+    for some in encode.slices(batch, "text", 500):
+        ids, ends = encode.closed(*one.column(some.column("text")), 7)
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        rows += some.num_rows
+    assert rows == len(texts) and got == [x.tolist() for x in plain(name, texts, 7)]
+
+
+def test_read_back_is_spread_over_tasks(spark, docs, folder, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_IDS", 2000)
+    monkeypatch.setattr(token_files, "TASK_IDS", 20_000)
+    files = shared.staged(token_files.write(docs, folder, "word_bpe_49k.json", 2), folder, "manifest")
+    back = token_files.read(files)
+    assert files.count() > 4 and back.rdd.getNumPartitions() > 4 and back.count() == docs.count()
+
+
 @pytest.mark.parametrize("n,top", [(0, 1), (1, 5), (4096, 1), (4097, 50_000), (9000, 2**32 - 1)])
 def test_blocks_round_trip(n, top):
     ids = np.random.default_rng(n).integers(0, top, n).astype("<u4")
