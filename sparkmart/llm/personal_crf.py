@@ -36,6 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm import shared
 from sparkmart.llm.words import Words, bytes_of, chunks
 
 # The kinds in their order, and the patterns.
@@ -559,8 +560,7 @@ def scan(docs: DataFrame, field: Field, keep: list[str], with_text: bool = False
                     spans = base_spans(text) if "@" in text or _DIGIT.search(text) else []
                     mine = anchors[cuts[row] : cuts[row + 1]]
                     if len(mine):
-                        more = _added(w, row, raw, mine, model)
-                        spans += [x for x in more if all(x[2] <= s or e <= x[0] for s, _, e in _close(spans, x))]
+                        spans += shared.clear_of(spans, _added(w, row, raw, mine, model))
                         spans.sort(key=lambda x: (x[0], NAMES.index(x[1])))
                     found.append([{"kind": k, "start": s, "end": e} for s, k, e in spans])
                     if with_text:
@@ -579,14 +579,6 @@ NAMES = KINDS + tuple(f"field_{k}" for k in KINDS)
 _DIGIT = re.compile("[0-9]")
 
 
-def _close(spans: list[tuple[int, str, int]], x: tuple[int, str, int]) -> list[tuple[int, str, int]]:
-    """Base spans that may touch ``x``: sorted by start, few of them overlap."""
-    from bisect import bisect_left
-
-    at = bisect_left(spans, (x[2], "", 0))
-    return spans[max(0, at - 64) : at]
-
-
 def _added(w: Words, row: int, raw: bytes, anchors: np.ndarray, model: Field) -> list[tuple[int, str, int]]:
     """Spans of the field in one text, island by island."""
     out: list[tuple[int, str, int]] = []

@@ -1,10 +1,15 @@
 """Secret scan: fixed patterns, and a linear-chain conditional random field over tokens.
 
 Tokens are words; each is tagged begin (B), inside (I) or outside (O) of a secret. Scores are sums
-of weights: of the token's shape (classes of its characters, length, variety), of the words before
-and after it, of features of the whole text (the file), and of transitions. The field is trained
-here, in numpy, by gradient ascent of the exact log-likelihood (forward-backward) on texts that the
-fixed patterns label: a bounded sample, ``TRAIN_CHARS`` characters of ``TRAIN_TEXTS`` texts or so.
+of weights: of the token's shape (classes of its characters, length, how often classes change), of
+the words around it, of features of the whole text (the file), and of transitions. The field is
+trained here, in numpy, by gradient ascent of the exact log-likelihood (forward-backward).
+
+Its labels go beyond the fixed patterns. ``TRAIN_TEXTS`` texts are drawn by hash; of each, whole, one
+window of ``WINDOW`` words from a drawn place and one around a drawn match come to the driver, at most
+2 * ``TRAIN_TEXTS`` rows. Into them go invented secrets in forms that no pattern has (after a keyword
+without a sign or with words between, keys with known prefixes, mixed alphabets) and look-alikes that
+are none (addresses of pages with hashes, paths, names in code, versions, plain uses of the keywords).
 
 Decoding is exact Viterbi over whole texts, of any length. A token whose O score leads by more than
 twice the range of the transitions is O in every best path, because exchanging its tag for O gains
@@ -12,13 +17,14 @@ more than both transitions can cost; what lies between such tokens is decoded on
 
 Fixed patterns stay as they are; the field adds spans that touch none of theirs. Positions are code
 points, ends exclusive. NULL texts are empty and have no spans, repeated rows are scanned each, an
-empty table gives no rows; a sample without any match trains a field that never adds spans. Further
-columns pass only where the caller names them.
+empty table gives no rows; without texts to train on the field adds nothing. Further columns pass
+only where the caller names them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -38,8 +44,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key", "key", "bearer", "credential", "auth")
 
-TRAIN_TEXTS = 4000
-TRAIN_CHARS = 8000  # of one training text; decoding has no such bound
+TRAIN_TEXTS = 2000
+WINDOW = 24  # words of a training window
 TAGS = 3  # O, B, I
 
 _CLASS = np.zeros(256, np.uint8)  # 0 other, 1 lower, 2 upper, 3 digit, 4 sign, 5 beyond ASCII
@@ -48,7 +54,9 @@ _CLASS[list(b"+/_=-:\"'.")] = 4
 N_SHAPE = 2 * 2 * 2 * 2 * 8 * 6
 N_NEAR = len(KEYWORDS) + 1
 N_FILE = 8
-N_FEATURES = N_SHAPE + 2 * N_NEAR + N_FILE
+N_TURNS = 8 * 2 * 2 * 4
+_OFFSETS = np.cumsum([0, N_SHAPE, N_NEAR, N_NEAR, N_FILE, N_NEAR, N_TURNS])
+N_FEATURES = int(_OFFSETS[-1])
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -77,7 +85,7 @@ class Tokens:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.words = w = Words(data, offsets)
         n = len(w)
-        self.features = np.zeros((n, 4), np.int32)
+        self.features = np.zeros((n, 6), np.int32)
         if not n:
             return
         kinds = _CLASS[data]
@@ -106,6 +114,20 @@ class Tokens:
         total = np.maximum(1, np.diff(w.at))
         file = (np.diff(digits) > total).astype(int) + 2 * (np.diff(signs) > total) + 4 * (total > 1000)
         self.features[:, 3] = N_SHAPE + 2 * N_NEAR + np.repeat(file, np.diff(w.at))
+        # The keyword of the word before the one before.
+        two = np.concatenate([[0, 0], near[:-2]])[:n]
+        place = np.arange(n) - np.repeat(w.at[:-1], np.diff(w.at))
+        self.features[:, 4] = _OFFSETS[4] + np.where(place < 2, 0, two)
+        # How often the kind of character changes, and marks of addresses and paths.
+        change = np.zeros(len(data) + 1, np.int32)
+        change[2:] = kinds[1:] != kinds[:-1]
+        turns = np.cumsum(change)[edges].reshape(-1, 2)
+        turns = np.searchsorted([1, 2, 4, 6, 9, 13, 18], turns[:, 1] - turns[:, 0] - 1, side="right")
+        marks = [np.cumsum(np.concatenate([[0], data == c]), dtype=np.int32)[edges].reshape(-1, 2) for c in (47, 64, 46)]
+        slash, at, dot = (m[:, 1] > m[:, 0] for m in marks)
+        head = w.data[w.starts]
+        opens = np.select([(head == 34) | (head == 39), _CLASS[head] == 2, _CLASS[head] == 3], [1, 2, 3], 0)
+        self.features[:, 5] = _OFFSETS[5] + ((turns * 2 + (slash | at)) * 2 + dot) * 4 + opens
 
 
 _WORD_KEYS: dict[str, np.ndarray] = {}
@@ -269,26 +291,124 @@ def gold_tags(text: str, words: Words, row: int = 0) -> np.ndarray:
     return tags
 
 
-def train(docs: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS, seed: int = 7) -> Field:
-    """A field from a bounded sample: ``chars`` characters of about ``texts`` texts drawn by hash."""
+class Forms:
+    """Invented secrets and look-alikes: words, and which of them are the secret."""
+
+    LOWER, UPPER, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    PREFIXES = ("ghp_", "sk-", "sk_live_", "xoxb-", "pk_test_", "glpat-", "npm_", "AIza", "eyJ")
+
+    def __init__(self, seed: int):
+        self.draw = random.Random(seed)
+
+    def of(self, letters: str, least: int, most: int) -> str:
+        return "".join(self.draw.choice(letters) for _ in range(self.draw.randint(least, most)))
+
+    def key(self) -> str:
+        every = self.LOWER + self.UPPER + self.DIGIT
+        kind = self.draw.randrange(6)
+        if kind == 0:
+            return self.draw.choice(self.PREFIXES) + self.of(every, 16, 40)
+        if kind == 1:
+            return self.of(every + "+/", 36, 44) + self.draw.choice(("", "=", "=="))
+        if kind == 2:
+            return self.of(every, 16, 40)
+        if kind == 3:
+            return self.of(self.UPPER + self.DIGIT, 16, 32)
+        if kind == 4:
+            return self.of(every + "!@#$%^*_-", 10, 18)
+        return self.of(every, 8, 12) + "." + self.of(every, 16, 30) + "." + self.of(every + "_-", 16, 30)
+
+    def word(self) -> str:
+        return self.of(self.LOWER, 3, 10)
+
+    def secret(self) -> tuple[list[str], int, int]:
+        """Words, and the range of them that is the secret."""
+        quote = self.draw.choice(("", "", "", '"', "'"))
+        value = quote + self.key() + quote + self.draw.choice(("", "", ".", ","))
+        key = self.draw.choice(KEYWORDS)
+        key = self.draw.choice((key, key.upper(), key.title()))
+        lead = self.draw.choice(([key], [key, "is"], [key, "->"], [key, "=>"], [key, "was"], ["Bearer"], ["Authorization:", "Bearer"], [], ["my", key], [key + ",", "namely"]))
+        return [*lead, value], len(lead), len(lead) + 1
+
+    def other(self) -> list[str]:
+        every = self.LOWER + self.DIGIT
+        hexes = self.of("0123456789abcdef", 7, 12)
+        shapes = (
+            f"https://{self.word()}.org/{self.word()}/{self.of(every, 20, 40)}", f"http://{self.word()}.com/?q={self.word()}&id={self.of(self.DIGIT, 6, 12)}",
+            f"/usr/{self.word()}/{self.word()}/{self.word()}.py", f"{self.word()}_{self.word()}_{self.word()}()", f"{self.word().title()}{self.word().title()}{self.word().title()}",
+            f"{self.word()}@{self.word()}.com", f"v{self.of(self.DIGIT, 1, 2)}.{self.of(self.DIGIT, 1, 2)}.{self.of(self.DIGIT, 1, 2)}", hexes, self.of(self.DIGIT, 8, 19),
+            f"{self.word().upper()}-{self.of(self.DIGIT, 4, 8)}", f"{self.word().upper()}", f"{self.word()}-{self.word()}-{self.word()}-{self.word()}",
+            f"{self.word()}.{self.word()}.{self.word()}", f"2024-0{self.of('123456789', 1, 1)}-1{self.of(self.DIGIT, 1, 1)}T10:{self.of('12345', 1, 1)}0:00Z", f"#{self.of(self.DIGIT, 3, 6)}",
+            f"{self.of('0123456789ABCDEF', 6, 8)}", f"ISBN-{self.of(self.DIGIT, 13, 13)}", f"{self.of(self.LOWER, 20, 40)}", f"{self.word()}{self.of(self.DIGIT, 1, 4)}",
+        )
+        key = self.draw.choice(KEYWORDS)
+        plain = ([key, self.word()], [key, "is", self.word()], ["the", key, "of", self.word()], [key, "ring"], [key, "->", self.word()], [key + ",", self.word()], [key, self.of(self.DIGIT, 1, 3)])
+        pick = self.draw.random()
+        if pick < 0.55:
+            return [self.draw.choice(shapes)]
+        if pick < 0.7:
+            return [self.draw.choice(("see", "commit", "file", "order", "id", key)), self.draw.choice(shapes[:10])]
+        return list(self.draw.choice(plain))
+
+
+def train(docs: DataFrame, texts: int = TRAIN_TEXTS, seed: int = 7) -> Field:
+    """A field from windows of about ``texts`` texts drawn by hash, read as a whole in the tasks."""
+    import pyarrow as pa
+
+    def task(batches) -> Iterator:
+        for batch in batches:
+            out: list[tuple[int, str]] = []
+            for draw, text in zip(batch.column("draw").to_pylist(), batch.column("text").to_pylist()):
+                out += [(draw, w) for w in windows_of(text, random.Random(draw))]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([w for _, w in out], pa.string())], ["draw", "words"])
+
     text = F.col("text").cast("string")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), text), F.lit(1 << 40))
     share = min(1.0, texts / max(1, docs.count()))
-    some = docs.where(text.isNotNull() & (draw < int(share * (1 << 40)))).select(F.substring(text, 1, chars).alias("text"))
-    # Repeated rows are drawn together; the limit bounds what reaches the driver all the same.
-    return fit(sorted(r.text for r in some.limit(2 * texts).collect()))
+    some = docs.where(text.isNotNull() & (draw < int(share * (1 << 40)))).select(draw.alias("draw"), text.alias("text"))
+    rows = some.mapInArrow(task, "draw long, words string").distinct()  # repeated rows are drawn together
+    return fit_windows([r.words.split() for r in rows.orderBy("draw", "words").limit(2 * texts).collect()])
+
+
+def windows_of(text: str, pick: random.Random) -> list[str]:
+    """A window of words from anywhere in the text, and one around one of its matches, if any."""
+    words = text.split()
+    places = [pick.randrange(len(words))] if words else []
+    spans = base_spans(text)
+    if spans:
+        places.append(len(text[: pick.choice(spans)[0]].split()))
+    out = []
+    for p in places:
+        begin = max(0, p - pick.randrange(WINDOW))
+        out.append(" ".join(w[:200] for w in words[begin : begin + WINDOW]))
+    return out
 
 
-def fit(texts: list[str], around: int = 40, plain: int = 60) -> Field:
-    """Train on the stretches around fixed matches, and on the first words of texts without any."""
-    chains = []
-    for one in texts:
-        raw = np.frombuffer(one.encode(), np.uint8)
+def fit(texts: list[str], seed: int = 3) -> Field:
+    """Train on windows of the given texts."""
+    pick = random.Random(seed)
+    return fit_windows([w.split() for text in texts for w in windows_of(text, pick)])
+
+
+def fit_windows(windows: list[list[str]], seed: int = 17) -> Field:
+    """Train on windows with one or two invented items each; what the patterns match is right too."""
+    forms, chains = Forms(seed), []
+    for words in windows:
+        made: list[tuple[str, int]] = [(w, 0) for w in words]
+        for _ in range(forms.draw.choice((1, 1, 2))):
+            spot = forms.draw.randint(0, len(made))
+            if forms.draw.random() < 0.4:
+                new, begin, end = forms.secret()
+            else:
+                new, begin, end = forms.other(), 0, 0
+            made[spot:spot] = [(w, 1 if k == begin < end else 2 if begin < k < end else 0) for k, w in enumerate(new)]
+        text = " ".join(w for w, _ in made)
+        raw = np.frombuffer(text.encode(), np.uint8)
         tokens = Tokens(raw, np.array([0, len(raw)]))
-        tags = gold_tags(one, tokens.words)
-        hits = np.flatnonzero(tags == 1)
-        spots = [(max(0, h - around), h + around) for h in hits.tolist()] or [(0, plain)]
-        chains += [(tokens.features[i:j], tags[i:j]) for i, j in spots]
+        planted = np.array([t for _, t in made], np.int64)
+        if len(tokens.words) == len(planted):  # other blanks of Unicode part words for split() only
+            tags = gold_tags(text, tokens.words)
+            chains.append((tokens.features, np.where(planted > 0, planted, tags)))
     field = Field()
     field.train(chains)
     return field
@@ -331,9 +451,11 @@ def scan(docs: DataFrame, field: Field, keep: list[str], with_text: bool = False
                     text = raw.decode()
                     spans = base_spans(text)
                     if row in added:
-                        points = lambda b: len(raw[: int(b) - start].decode())  # noqa: B023, E731
-                        more = [(points(w.starts[a]), "crf", points(w.ends[b - 1])) for a, b in added[row]]
-                        spans += [x for x in more if all(x[2] <= s or e <= x[0] for s, _, e in spans)]
+                        # Code points before each byte.
+                        before = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])
+                        points = lambda b: int(before[int(b) - start])  # noqa: B023, E731
+                        more = [trimmed(text, points(w.starts[a]), points(w.ends[b - 1])) for a, b in added[row]]
+                        spans += shared.clear_of(spans, [x for x in more if x[0] < x[2]])
                         spans.sort(key=lambda x: (x[0], KINDS.index(x[1])))
                     found.append([{"kind": k, "start": s, "end": e} for s, k, e in spans])
                     if with_text:
@@ -348,6 +470,13 @@ def scan(docs: DataFrame, field: Field, keep: list[str], with_text: bool = False
     return rows.mapInArrow(task, declared)
 
 
+def trimmed(text: str, start: int, end: int) -> tuple[int, str, int]:
+    """A span of the field without quotes and sentence signs around it."""
+    core = text[start:end]
+    left = len(core) - len(core.lstrip("\"'`([{<"))
+    return start + left, "crf", start + max(left, len(core.rstrip("\"'`)]}>.,;:!?*$%&|#")))
+
+
 def mask(text: str, spans: list[tuple[int, str, int]]) -> str:
     """The text with every span, or union of overlapping spans, replaced by ``[SECRET]``."""
     out, at, reached = [], 0, -1

@@ -6,7 +6,9 @@ import gc
 import tempfile
 import uuid
 import zipfile
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +32,13 @@ def ship(spark: SparkSession) -> None:
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only a session without that setting (as in tests) gets a folder of its own.
+    Only a session on one machine without that setting (as in tests) gets a folder of its own.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_sparkmart_root", None)
     if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="sparkmart-")
         context._sparkmart_root = root  # type: ignore[attr-defined]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -77,3 +81,11 @@ def put(uri: str, blob: bytes) -> None:
 def texts_of(column) -> Iterator[str]:
     """Strings of an Arrow column, NULL as empty."""
     return (x or "" for x in column.to_pylist())
+
+
+def clear_of(spans: list[tuple[int, str, int]], more: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    """Those of ``more`` that overlap none of ``spans`` (start, kind, end), which are in order of start."""
+    starts = [s for s, _, _ in spans]
+    reach = list(accumulate((e for _, _, e in spans), max))
+    at = [bisect_left(starts, end) for _, _, end in more]
+    return [x for x, k in zip(more, at) if not k or reach[k - 1] <= x[0]]

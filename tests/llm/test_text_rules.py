@@ -121,6 +121,39 @@ def test_field_learns_and_decodes_exactly():
         assert some.decode(np.zeros((30, 4), int), at).tolist() == want
 
 
+HIDDEN = ("bearer {k}", "ghp_{k}", "password is {p}", "secret {c}", "PASSWORD -> {p}", "credential {k}", "the token was '{k}'", "AUTH => {k}.")
+HARMLESS = ("https://a.org/{h}", "the password is required", "token ring", "v10.4.2", "/usr/lib/{w}/x.py", "{w}_{w}_{w}()", "ABC-20931", "{w}@{w}.com", "secret of {w}", "20240115", "9781234567890")
+
+
+def test_field_adds_secrets_that_no_pattern_has(spark):
+    """Forms that the fixed patterns miss, planted in texts that the field has not seen."""
+    import random
+
+    from sparkmart.llm import shared
+    from tests_llm_helpers import invented
+
+    shared.ship(spark)
+    draw = random.Random(41)
+    of = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    every = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows, want = [], {}
+    for n, (form, planted) in enumerate([(f, True) for f in HIDDEN for _ in range(15)] + [(f, False) for f in HARMLESS for _ in range(15)]):
+        words = {"k": of(every, 24), "p": of(every, 14), "c": of(every + "+/", 40), "h": of("0123456789abcdef", 12), "w": invented(n + 5000, 1)}
+        item = form.format(**words)
+        head, tail = invented(n + 6000, 60) + " é ", " " + invented(n + 7000, 60)
+        rows.append((n, head + item + tail))
+        if planted:
+            value = next(words[k] for k in "kpc" if "{" + k + "}" in form)
+            begin = len(head) + item.index(value) - (4 if form.startswith("ghp_") else 0)
+            want[n] = (begin, len(head) + item.index(value) + len(value))
+    field = secrets_crf.fit([invented(k, 120) for k in range(9000, 9600)])
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "crf"] for r in secrets_crf.scan(spark.createDataFrame(rows, "doc_id long, text string"), field, ["doc_id"]).collect()}
+    added = sum(map(len, got.values()))
+    hit = sum(want.get(n) == x for n, v in got.items() for x in v)
+    print("recall", hit / len(want), "precision", hit / added)
+    assert hit / len(want) >= 0.85 and hit / added >= 0.9
+
+
 def test_marginals_equal_enumeration():
     from itertools import product
 
