@@ -150,10 +150,16 @@ def overlaps(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, folder: str) -> DataFrame:
-    """Documents without an overlap, unchanged. The join sees ids only, once for each document."""
-    leaks = overlaps(docs, benchmark, folder).select(F.col("doc_id").alias("_leak")).distinct()
-    leaks = shared.staged(leaks, folder, "leaks")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+    """Rows without an overlap, unchanged. The join sees keys only, once for each document.
+
+    A row's key is its id and two hashes of its text, so rows with one id or none but other texts are
+    judged each by its own.
+    """
+    text = docs["text"].cast("string")
+    key = F.concat_ws(":", F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text))
+    leaks = overlaps(docs.select(key.alias("doc_id"), text.alias("text")), benchmark, folder)
+    leaks = shared.staged(leaks.select(F.col("doc_id").alias("_leak")).distinct(), folder, "leaks")
+    return docs.join(leaks, key == leaks["_leak"], "left_anti")
 
 
 def op1_spaced_seeds(spark, sf_dir: str) -> DataFrame:

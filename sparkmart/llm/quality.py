@@ -223,15 +223,28 @@ def verdict(cutoffs: dict[tuple[str, str], float]) -> Column:
     return ~failed
 
 
+def _labelled(counted: DataFrame, labels: DataFrame) -> DataFrame:
+    known = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").alias("_id"), "quality")
+    return counted.join(known, counted["doc_id"] == known["_id"]).drop("_id")
+
+
 def judged(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """Counts, base_failed and kept of every document."""
     counted = shared.staged(features(docs, ["doc_id", "lang"]), folder, "features")
-    known = labels.where(F.col("quality").isNotNull()).select(F.col("doc_id").alias("_id"), "quality")
-    labelled = counted.join(known, counted["doc_id"] == known["_id"]).drop("_id")
-    cutoffs = thresholds(labelled)
+    cutoffs = thresholds(_labelled(counted, labels))
     return counted.withColumns({"base_failed": base_failed(), "kept": verdict(cutoffs)})
 
 
+def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, each judged by its own text; no row is found again by its id."""
+    ids = labels.select(F.col("doc_id").alias("_id")).distinct()
+    some = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
+    cutoffs = thresholds(_labelled(features(some, ["doc_id", "lang"]), labels))
+    # Rows travel in a struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "lang", "text")
+    return features(rows, ["_row", "lang"]).where(verdict(cutoffs)).select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
+
+
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document, thresholds fitted on the labels."""
     folder = shared.workspace(spark, "quality")
