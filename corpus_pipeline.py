@@ -18,9 +18,7 @@ from sparkmart.llm import decontaminate, packing, quality, secrets_crf, setsketc
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that fail the base rule or a risk-controlled threshold."""
     shared.ship(spark)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality.judged(docs, labels, shared.workspace(spark, "stage-quality"))
-    return _only(docs, judged.where("kept").select("doc_id"))
+    return quality.kept_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,12 +68,6 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, shared.workspace(spark, "stage-packing"), "byte_bpe_50k.json", end_id=1)
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids``; NULL counts as an id."""
-    ids = ids.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
-
-
 STAGES = [
     ("quality rules", quality_rules),
     ("near duplicates", near_duplicates),
