@@ -33,6 +33,7 @@ from sparkmart.llm import shared
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVE_BYTES = 16 << 20
+TASK_ARCHIVES = 2  # archives that one task reads back
 _LOCAL = struct.Struct("<4sHHHHHIIIHH")
 _ENTRY = struct.Struct("<4sHHHHHHIIIHHHHHII")
 _END = struct.Struct("<4sHHHHIIH")
@@ -177,8 +178,12 @@ def parse(blob: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
-def link(pages: DataFrame, least: int = 0) -> DataFrame:
-    """Pages with ``refers_to``: the page whose response a revisit points to, NULL for responses."""
+def link(pages: DataFrame, folder: str | None = None, least: int = 0) -> DataFrame:
+    """Pages with ``refers_to``: the page whose response a revisit points to, NULL for responses.
+
+    With a ``folder`` the list of repeated payloads is written first: both sides of the join are then plain scans, so that
+    adaptive execution splits a payload that very many pages share.
+    """
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -189,6 +194,7 @@ def link(pages: DataFrame, least: int = 0) -> DataFrame:
     big = F.octet_length("payload") >= least
     groups = rows.where(big).groupBy("digest").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n"))
     groups = groups.where("n > 1").select("digest", "top")
+    groups = shared.staged(groups, folder, "repeated") if folder else groups
     joined = rows.join(groups, "digest", "left")
     differs = big & ~F.col("page_id").eqNullSafe(F.col("top"))
     return joined.select("page_id", "url", "payload", F.when(differs, F.col("top")).alias("refers_to"))
@@ -273,14 +279,16 @@ def read(archives: DataFrame, window: int = 1 << 20, with_payload: bool = False)
                         i = j
 
     declared = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
-    return archives.repartition(F.col("uri")).mapInArrow(task, declared + ", payload binary" * with_payload)
+    # A number of tasks is given, as adaptive execution would put the few short rows into one.
+    tasks = max(1, -(-archives.count() // TASK_ARCHIVES))
+    return archives.repartition(tasks).mapInArrow(task, declared + ", payload binary" * with_payload)
 
 
 def op10_warc_zip(spark, sf_dir: str) -> DataFrame:
     """Write all pages to archives and return what reading the archives back gives."""
     folder = shared.workspace(spark, "warc")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return read(shared.staged(write(link(pages), folder), folder, "manifest")).drop("url")
+    return read(shared.staged(write(link(pages, folder), folder), folder, "manifest")).drop("url")
 
 
 # Bits of a SHA-1 in groups of five as base32 letters, from hexadecimal digits.

@@ -77,3 +77,31 @@ def test_empty(spark, folder):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     files = shared.staged(warc_zip.write(warc_zip.link(none), folder), folder, "manifest")
     assert warc_zip.read(files).collect() == []
+
+
+def test_reads_are_spread_over_tasks(spark, folder):
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>" * 20) for i in range(90)], "page_id long, url string, html string")
+    files = shared.staged(warc_zip.write(warc_zip.link(pages, folder), folder, archive_bytes=500), folder, "manifest")
+    back = warc_zip.read(files)
+    assert files.count() > 8 and back.rdd.getNumPartitions() == -(-files.count() // warc_zip.TASK_ARCHIVES) and back.count() == 90
+
+
+def test_a_payload_of_a_third_of_all_pages_is_split(spark, folder):
+    rows = spark.range(6000).selectExpr("id AS page_id", "'u' AS url", "IF(id % 3 = 0, repeat('same ', 40), concat('<p>', id, repeat('x', 100))) AS html")
+    extra = [("digest", "a"), ("payload", "b"), ("top", "c"), ("refers_to", "d")]  # names that clash
+    rows = rows.selectExpr("*", *(f"'{v}' AS {k}" for k, v in extra)).repartition(12)
+    small = {"autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "adaptive.advisoryPartitionSizeInBytes": "2k", "shuffle.partitions": "24"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in small}
+    for k, v in small.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    try:
+        linked = warc_zip.link(rows, folder)
+        got = linked.select("page_id", "refers_to").collect()
+        plan = linked._jdf.queryExecution().executedPlan()
+        linked.collect()
+        assert "skew=true" in plan.toString() or "isSkew=true" in linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+    assert {r.page_id: r.refers_to for r in got} == {i: 5997 if i % 3 == 0 and i != 5997 else None for i in range(6000)}
