@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from sparkmart.checks import oracle_base as ob
 from sparkmart.functions import expr
-from sparkmart.operators import attribution, dims, facts, journey, marts, roi, sessions
+from sparkmart.operators import attribution, dims, facts, journey, marts, roi, session_state, sessions
 from sparkmart.sources import testviews as tv
+from sparkmart.sources import workspace
+from sparkmart.streaming import sessions as stream
 
 QUERIES = {}
 SQL = {}
@@ -68,6 +70,37 @@ QUERIES["sessions_rollup"] = lambda spark, sf: sessions.rollup(
     sessions.assign(_entity(spark, sf, "events_raw")), load_date=tv.LOAD_DATE
 )
 SQL["sessions_rollup"] = "SELECT *, '2024-02-01' AS silver_load_date FROM s30_rollup"
+
+
+def _sessions_by_loads(spark, sf):
+    """Events in three loads that cut across time, merged one after the other."""
+    events = _entity(spark, sf, "events_raw")
+    state = session_state.store(spark, workspace.new_folder(spark, "sessions"), events, buckets=8)
+    for load in range(3):
+        session_state.merge(state, events.where(F.col("event_id") % 3 == load), str(load))
+    return events, state
+
+
+QUERIES["sessions_rollup_incremental"] = lambda spark, sf: session_state.rollup(
+    _sessions_by_loads(spark, sf)[1], load_date=tv.LOAD_DATE
+)
+SQL["sessions_rollup_incremental"] = SQL["sessions_rollup"]
+QUERIES["sessions_assign_incremental"] = lambda spark, sf: session_state.assign(*_sessions_by_loads(spark, sf))
+SQL["sessions_assign_incremental"] = SQL["sessions_assign"]
+
+
+def _sessions_by_stream(spark, sf):
+    """The same from a stream of files, two of them a micro-batch."""
+    folder = workspace.new_folder(spark, "session-stream")
+    events = _entity(spark, sf, "events_raw")
+    events.repartition(6, "event_id").write.parquet(f"{folder}/events")
+    state = session_state.store(spark, f"{folder}/state", events, buckets=8)
+    stream.run(spark, f"{folder}/events", events.schema, state, f"{folder}/checkpoint", files_per_batch=2)
+    return session_state.rollup(state, load_date=tv.LOAD_DATE)
+
+
+QUERIES["sessions_rollup_stream"] = _sessions_by_stream
+SQL["sessions_rollup_stream"] = SQL["sessions_rollup"]
 QUERIES["sessions_separated"] = lambda spark, sf: sessions.assign(
     _entity(spark, sf, "events_raw"), separator="-"
 )
@@ -117,6 +150,20 @@ QUERIES["journey_interval_join"] = lambda spark, sf: journey.interval_join(
     salts=4,
 )
 SQL["journey_interval_join"] = _touchpoints.format(extra="", join="", lookback=7)
+# The last touch of the week before each session.
+QUERIES["journey_asof"] = lambda spark, sf: journey.asof_touches(
+    _six_hour_sessions(spark, sf).select("true_session_id", "customer_id", "session_start", "converted"),
+    _entity(spark, sf, "marketing_touches"), ["touch_id", "channel", "touchpoint_date", "cost"], lookback_days=7,
+)
+SQL["journey_asof"] = """
+SELECT s.true_session_id, s.customer_id, s.session_start, s.converted, t.touch_id, t.channel, t.touchpoint_date, t.cost,
+  CAST(date_diff('day', t.touchpoint_date, CAST(s.session_start AS DATE)) AS INTEGER) AS days_before_session
+FROM s6h_rollup s LEFT JOIN c_marketing_touches t ON t.customer_id = s.customer_id
+  AND t.touchpoint_date <= CAST(s.session_start AS DATE)
+  AND date_diff('day', t.touchpoint_date, CAST(s.session_start AS DATE)) <= 7
+QUALIFY row_number() OVER (PARTITION BY s.true_session_id, s.customer_id
+  ORDER BY t.touchpoint_date DESC NULLS LAST, t.touch_id DESC) = 1
+"""
 QUERIES["touch_enrichment"] = lambda spark, sf: journey.enrich(
     _entity(spark, sf, "marketing_touches"), _entity(spark, sf, "customers")
 )

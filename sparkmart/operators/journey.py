@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions import expr
@@ -67,6 +69,53 @@ def interval_join(
     )
 
 
+def asof_touches(
+    sessions: DataFrame, touches: DataFrame, columns: Sequence[str], lookback_days: int = 30, tie: str = "touch_id"
+) -> DataFrame:
+    """Every session with the last touch of its customer at or before its day, at most ``lookback_days``
+    days ago: ``columns`` of that touch (NULL: none) and ``days_before_session``.
+
+    No pairs are formed. Touches are reduced to the last one of each customer and day (ties in day: the
+    greatest ``tie``). Days are cut into buckets of the lookback width, so that a session's touch lies in
+    its own bucket or the one before; the last touch of each bucket opens the next one. Both sides then
+    run through one window in order of (customer, bucket, day), which carries the last touch forward. A
+    window holds a bucket's days and sessions of one customer, however many touches there are. Sessions
+    without a customer or a time have no touch; touches without a day take no part.
+    """
+    width = lookback_days + 1
+    day = F.unix_date("touchpoint_date")
+    carried = F.struct(day.alias("_day"), F.col(tie).alias("_tie"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
+    known = touches.where(F.col("touchpoint_date").isNotNull() & F.col("customer_id").isNotNull())
+    daily = known.groupBy(F.col("customer_id").alias("_who"), day.alias("_day")).agg(F.max(carried).alias("_touch"))
+    daily = daily.withColumn("_bucket", F.floor(F.col("_day") / width))
+    # A bucket's last touch, as the first row of the next bucket.
+    opening = daily.groupBy("_who", "_bucket").agg(F.max("_touch").alias("_touch"))
+    opening = opening.select("_who", (F.col("_bucket") + 1).alias("_bucket"), F.col("_touch._day").alias("_day"), "_touch")
+    rows = daily.select("_who", "_bucket", "_day", "_touch").unionByName(opening)
+    session_day = F.unix_date(F.to_date("session_start"))
+    # Sessions that can have no touch are spread over the buckets of nobody.
+    spread = F.pmod(F.xxhash64(*sessions.columns), F.lit(1 << 20))
+    open_ = F.col("customer_id").isNotNull() & session_day.isNotNull()
+    visits = sessions.select(
+        F.col("customer_id").alias("_who"), F.when(open_, F.floor(session_day / width)).otherwise(spread).alias("_bucket"), session_day.alias("_day"),
+        F.struct(*(F.col(f"`{c}`") for c in sessions.columns)).alias("_session"),
+    )
+    both = rows.withColumn("_session", F.lit(None).cast(visits.schema["_session"].dataType)).unionByName(
+        visits.withColumn("_touch", F.lit(None).cast(rows.schema["_touch"].dataType))
+    )
+    # Of one day, touches come before sessions.
+    order = Window.partitionBy("_who", "_bucket").orderBy("_day", F.col("_session").isNotNull())
+    last = F.last("_touch", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("_last", last).where(F.col("_session").isNotNull())
+    ahead = F.col("_day") - F.col("_last._day")
+    found = found.withColumn("_last", F.when(F.col("_who").isNotNull() & (ahead <= lookback_days), F.col("_last")))
+    return found.select(
+        "_session.*",
+        *(F.col(f"_last.c{i}").alias(c) for i, c in enumerate(columns)),
+        (F.col("_day") - F.col("_last._day")).alias("days_before_session"),
+    )
+
+
 def touchpoints(
     touches: DataFrame,
     customers: DataFrame,

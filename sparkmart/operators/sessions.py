@@ -24,7 +24,7 @@ MOST_STARTS = 100_000
 _NO_TIME = -(2**62)
 
 
-def _visitors(df: DataFrame, key: str, anonymous: str) -> DataFrame:
+def visitors(df: DataFrame, key: str, anonymous: str) -> DataFrame:
     """Add a non-NULL ``_visitor`` for every event that takes part."""
     known = F.concat(F.lit("c"), F.col(key).cast("string"))
     if anonymous == "drop":
@@ -45,6 +45,14 @@ def _session_label(key: str) -> Column:
     return F.coalesce(F.col(key).cast("string"), anonymous)
 
 
+def session_id(key: str, separator: str = "") -> Column:
+    """Id from ``_visitor`` and ``session_number``: four digits; longer numbers follow a dash."""
+    digits = F.col("session_number").cast("string")
+    number = F.when(F.col("session_number") < 10000, F.lpad(digits, 4, "0"))
+    number = number.otherwise(digits if separator else F.concat(F.lit("-"), digits))
+    return F.concat(_session_label(key), F.lit(separator), number)
+
+
 def _bucket_of(second: Column, bucket_s: int) -> Column:
     return F.coalesce(F.floor(second / bucket_s), F.lit(0))
 
@@ -107,17 +115,14 @@ def assign(
     if timeout_s < 0 or bucket_s < 1 or bucket_s > MOST_STARTS * max(1, timeout_s):
         raise ValueError(f"a bucket of {bucket_s} s would hold too many sessions of {timeout_s} s")
     second = F.coalesce(expr.epoch_seconds(df, ts), F.lit(_NO_TIME))
-    events = _visitors(df, key, anonymous).withColumn("_second", second)
+    events = visitors(df, key, anonymous).withColumn("_second", second)
     starts = _session_starts(events.select("_visitor", "_second"), timeout_s, bucket_s)
     opened = F.size(F.filter("_starts", lambda start: start <= F.col("_second")))
-    digits = F.col("session_number").cast("string")
-    number = F.when(F.col("session_number") < 10000, F.lpad(digits, 4, "0"))
-    number = number.otherwise(digits if separator else F.concat(F.lit("-"), digits))
     return (
         events.withColumn("_bucket", _bucket_of(F.col("_second"), bucket_s))
         .join(starts, ["_visitor", "_bucket"])
         .withColumn("session_number", F.col("_offset") + opened)
-        .withColumn("true_session_id", F.concat(_session_label(key), F.lit(separator), number))
+        .withColumn("true_session_id", session_id(key, separator))
         .drop("_visitor", "_second", "_bucket", "_offset", "_starts")
     )
 

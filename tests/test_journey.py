@@ -52,6 +52,28 @@ def test_every_pair_once_with_and_without_salt(spark):
             assert sorted((r.touch_id, r.true_session_id) for r in out) == want
 
 
+def test_asof_is_the_first_of_the_interval_join(spark):
+    rng = random.Random(8)
+    day = dt.date(1969, 12, 1)
+    customer = lambda: 1 if rng.random() < 0.4 else rng.choice([None, *range(12)])
+    touches = [(i, customer(), rng.choice([None, *[day + dt.timedelta(days=rng.randrange(90))] * 9])) for i in range(300)]
+    sessions = [(f"s{i}", customer(), dt.datetime(1969, 12, 1) + dt.timedelta(hours=rng.randrange(24 * 90))) for i in range(200)]
+    sessions += [("no time", 1, None), sessions[0]]
+    t, s = spark.createDataFrame(touches, T_DDL), _sessions(spark, sessions)
+    for lookback in (0, 7, 30):
+        out = journey.asof_touches(s, t, ["touch_id", "customer_id"], lookback)
+        assert "Cartesian" not in out._jdf.queryExecution().executedPlan().toString()
+        assert " Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(((r[0], r[7], r.days_before_session) for r in out.collect()), key=str)
+        want = []
+        for name, c, at in sessions:
+            fits = [(d, i) for i, o, d in touches if at and c is not None and o == c and d and 0 <= (at.date() - d).days <= lookback]
+            want.append((name, max(fits)[1], (at.date() - max(fits)[0]).days) if fits else (name, None, None))
+        assert got == sorted(want, key=str)
+    none = spark.createDataFrame([], T_DDL)
+    assert journey.asof_touches(s, none, ["touch_id"]).where("touch_id IS NULL AND days_before_session IS NULL").count() == len(sessions)
+
+
 def test_hot_keys_are_few_and_right(spark):
     df = spark.createDataFrame([(1,)] * 50 + [(i,) for i in range(2, 52)] + [(None,)] * 90, "k bigint")
     assert [r.k for r in skew.hot_keys(df, "k", 0.3).collect()] == [1]
