@@ -82,13 +82,23 @@ def stamp_silver(df: DataFrame, load_date: str | None) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), dynamic: bool = False
+    df: DataFrame,
+    name: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    dynamic: bool = False,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> int:
     """Write a catalog table and return its row count, taken while writing.
 
     ``partition_by`` lets later scans skip what a filter on these columns leaves out. ``dynamic``
-    replaces only the partitions present in ``df`` of a table that exists.
+    replaces only the partitions present in ``df`` of a table that exists. ``bucket_by`` (number, columns)
+    deals the rows into sorted files by a hash of the columns, so that joins and groups on them need no
+    shuffle; each task writes one bucket, so a bucket is one file for each partition. Skewed columns need
+    a slice among them (``plans.colocated``).
     """
+    if bucket_by:
+        df = df.repartition(bucket_by[0], *bucket_by[1])
     frame, seen = with_metrics(df, "written")
     spark = df.sparkSession
     if dynamic and partition_by and spark.catalog.tableExists(name):
@@ -101,6 +111,8 @@ def write_table(
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     else:
         writer = frame.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
     return int(seen.get["rows"])
 
