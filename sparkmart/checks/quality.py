@@ -2,16 +2,76 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from sparkmart.checks import gold, oracle_base as ob
-from sparkmart.operators import dq
+from sparkmart.operators import dims, dq, facts, marts
 from sparkmart.plans import suite
+from sparkmart.sources import testviews as tv
+from sparkmart.sources import workspace
 
 QUERIES = {}
 SQL = {}
 
-QUERIES["dq_suite"] = lambda spark, sf: dq.run(
-    {name: gold.QUERIES[name](spark, sf) for name in suite.DECLARED}, suite.checks()
-)
+# Columns that marts read of a fact beyond those that checks name.
+_FOR_MARTS = {
+    "fct_transactions": ["transaction_date"],
+    "fct_loan_applications": [
+        "loan_term_months", "is_approved", "is_declined", "is_default", "loan_amount", "interest_rate",
+        "annual_interest_amount", "amount_gap", "credit_tier", "credit_score", "days_since_signup_at_application",
+    ],
+    "fct_marketing_spend": [
+        "channel", "campaign", "utm_source", "utm_campaign", "credit_tier", "region", "is_converted",
+        "converted_spend", "unconverted_spend",
+    ],
+}
+
+
+def _staged_models(spark, sf):
+    """The thirteen models, each built once: entities and facts are written with the columns that checks
+    and marts read, and everything else is made from these tables. Independent writes run side by side."""
+    folder = workspace.new_folder(spark, "suite")
+    declared = suite.checks()
+
+    def staged(name, df, columns=None):
+        wanted = df.select(*columns) if columns else df
+        wanted.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(wanted.schema).parquet(f"{folder}/{name}")
+
+    def fact(name, df):
+        own = [k.column for k in declared if k.model == name]
+        return name, staged(name, df, list(dict.fromkeys([*own, *_FOR_MARTS.get(name, [])])))
+
+    def each(*steps):
+        with ThreadPoolExecutor(4) as pool:
+            return list(pool.map(lambda step: step(), steps))
+
+    entity = lambda name: tv.clean_entity(spark, sf, name)
+    customers, touches, products = each(
+        *(lambda n=n: staged(n, entity(n)) for n in ("customers", "marketing_touches", "product_inventory"))
+    )
+    facts_ = dict(each(
+        lambda: fact("fct_loan_applications", facts.loans(entity("loan_applications"), customers)),
+        lambda: fact("fct_transactions", facts.transactions(entity("transactions"), customers)),
+        lambda: fact("fct_conversions", facts.conversions(touches, customers)),
+        lambda: fact("fct_marketing_spend", facts.marketing_spend(touches, customers)),
+    ))
+    dim_products = dims.product(products)
+    others = {
+        "dim_customer": dims.customer(customers, gold.AS_OF),
+        "dim_products": dim_products,
+        "dim_channel": dims.channel(touches),
+        "dim_campaign": gold.QUERIES["dim_campaign"](spark, sf),
+        "dim_date": gold.QUERIES["dim_date"](spark, sf),
+        "mart_channel_performance": marts.channel_performance(facts_["fct_marketing_spend"]),
+        "mart_cohort_analysis": marts.cohort(customers, facts_["fct_transactions"]),
+        "mart_credit_risk": marts.credit_risk(facts_["fct_loan_applications"]),
+        "mart_inventory_health": marts.inventory_health(dim_products),
+    }
+    return facts_ | dict(each(*(lambda n=n, d=d: (n, staged(n, d)) for n, d in others.items())))
+
+
+QUERIES["dq_suite"] = lambda spark, sf: dq.run(_staged_models(spark, sf), suite.checks())
 
 # What the checks are, written out a second time, independent of the code.
 _UNIQUE = {
