@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkmart.checks import oracle_base as ob
 from sparkmart.functions import expr
 from sparkmart.operators import attribution, dims, facts, journey, marts, roi, session_state, sessions
+from sparkmart.plans import partials
 from sparkmart.sources import testviews as tv
 from sparkmart.sources import workspace
 from sparkmart.streaming import sessions as stream
@@ -384,6 +385,21 @@ def _clean_transactions(spark, sf):
     return facts.clean_transactions(_entity(spark, sf, "transactions"))
 
 
+def _by_loads(fact, mart):
+    """A mart merged from the states of three loads."""
+    spark = fact.sparkSession
+    states = partials.States(spark, workspace.new_folder(spark, "mart-states"), mart, "_load")
+    fact = fact.withColumn("_load", F.pmod(F.xxhash64(fact.columns[0]), F.lit(3)).cast("string"))
+    states.refresh(fact, ["0", "1", "2"])
+    return states.merged(fact)
+
+
+QUERIES["channel_performance_by_loads"] = lambda spark, sf: _by_loads(_spend(spark, sf), partials.CHANNEL_PERFORMANCE)
+SQL["channel_performance_by_loads"] = SQL["mart_channel_performance"]
+QUERIES["credit_risk_by_loads"] = lambda spark, sf: _by_loads(
+    facts.loans(_entity(spark, sf, "loan_applications"), _entity(spark, sf, "customers")), partials.CREDIT_RISK
+)
+QUERIES["channel_cac_by_loads"] = lambda spark, sf: _by_loads(_spend(spark, sf), partials.CHANNEL_CAC)
 QUERIES["mart_cohort_analysis"] = lambda spark, sf: marts.cohort(
     _entity(spark, sf, "customers"), _clean_transactions(spark, sf)
 )
@@ -652,3 +668,5 @@ SQL["retention_by_channel"] = (
     )
     + " FROM r_active GROUP BY acquisition_channel"
 )
+SQL["credit_risk_by_loads"] = SQL["mart_credit_risk"]
+SQL["channel_cac_by_loads"] = SQL["roi_channel_cac"]
