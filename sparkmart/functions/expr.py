@@ -10,6 +10,7 @@ Two conventions keep results identical between runs, cluster sizes and engines:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -117,8 +118,31 @@ def surrogate_key(*cols: ColumnLike) -> Column:
     )
 
 
+def _has_shape(c: Column, fmt: str) -> Column:
+    """Whether a text looks like a format: its length and its first sign, or a letter at its start. A failed
+    parse is far dearer than this look, as it raises an error inside."""
+    if "MMM" in fmt:
+        return (F.substring(c, 1, 1) >= "A") & ((F.instr(c, ":") > 0) == F.lit(":" in fmt))
+    sign = next((k for k, x in enumerate(fmt) if not x.isalpha()), None)
+    same = F.length(c) == len(fmt)
+    return same if sign is None else same & (F.substring(c, sign + 1, 1) == fmt[sign])
+
+
+def _first_parsed(c: Column, formats: Sequence[str], parse) -> Column:
+    """The first format that parses: those of the text's shape, and for what is left all of them in order.
+
+    Formats whose parts have no fixed width could read a text of another one's shape; with such formats
+    the order alone decides.
+    """
+    parts = {run for f in formats for run in re.findall("[A-Za-z]+", f)}
+    if not parts <= {"yyyy", "MM", "MMM", "MMMM", "dd", "HH", "mm", "ss"}:
+        return F.coalesce(*[parse(f) for f in formats])
+    return F.coalesce(*[F.when(_has_shape(c, f), parse(f)) for f in formats], *[parse(f) for f in formats])
+
+
 def parse_date(c: ColumnLike, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_date(as_col(c), f) for f in formats])
+    text = as_col(c)
+    return _first_parsed(text, formats, lambda f: F.try_to_date(text, f))
 
 
 def parse_ts(c: ColumnLike, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
@@ -127,7 +151,7 @@ def parse_ts(c: ColumnLike, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Colum
     Texts are read as UTC and counted from the epoch, so that no zone's clock changes take part.
     """
     text = F.concat(as_col(c), F.lit(" +0000"))
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f"{f} xx")) for f in formats])
+    parsed = _first_parsed(as_col(c), formats, lambda f: F.try_to_timestamp(text, F.lit(f"{f} xx")))
     micros = F.unix_micros(parsed)
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     seconds = (micros / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
