@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkmart import schemas
 from sparkmart.checks import oracle_base as ob
 from sparkmart.functions import expr
-from sparkmart.operators import clean, dims, dq, profile
+from sparkmart.operators import clean, dims, dq, profile, profile_state
 from sparkmart.plans import incremental, silver
 from sparkmart.sources import testviews as tv
 from sparkmart.sources import workspace
@@ -164,6 +164,31 @@ FROM lineitem
 QUERIES["clean_drop_bots"] = lambda spark, sf: clean.drop_bots(tv.events_raw(spark, sf))
 SQL["clean_drop_bots"] = "SELECT * FROM b_events_raw WHERE NOT is_bot"
 
+def _profile_by_loads(spark, sf):
+    """The profile of both loads from a summary of each."""
+    folder = workspace.new_folder(spark, "profiles")
+    raw = tv.raw_entity(spark, sf, "loan_applications")
+    for date in (tv.EARLIER_LOAD, tv.LOAD_DATE):
+        profile_state.save(raw.where(F.col("load_date") == date).drop("load_date"), folder, date)
+    out = profile_state.profile(profile_state.saved(spark, folder))
+    return out.select("column", "rows", "nulls", "null_pct", "min", "max", "avg", "stddev")
+
+
+QUERIES["profile_by_loads"] = _profile_by_loads
+_loan_numbers = {"customer_id", "requested_amount", "loan_amount", "interest_rate", "loan_term_months"}
+SQL["profile_by_loads"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,"
+    f" {ob.rnd(f'count(*) FILTER (WHERE {c} IS NULL) * 100.0::DOUBLE / count(*)', 2)} AS null_pct,"
+    + (
+        f" CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {ob.rnd(f'avg({c})', 2)} AS avg,"
+        f" {ob.rnd(f'stddev_samp({c})', 2)} AS stddev"
+        if c in _loan_numbers
+        else " NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS avg, NULL::DOUBLE AS stddev"
+    )
+    + " FROM raw_loan_applications"
+    for c in schemas.raw_columns("loan_applications")
+)
+
 # --- cleaned entities -------------------------------------------------------------------------
 
 
