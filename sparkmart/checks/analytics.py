@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkmart.checks import gold  # noqa: F401  (defines the fact CTEs used below)
 from sparkmart.checks import oracle_base as ob
 from sparkmart.functions import expr
-from sparkmart.operators import abtest, facts, forecast, supply
+from sparkmart.operators import abtest, facts, forecast, seasonal, supply
 from sparkmart.sources import testviews as tv
 
 QUERIES = {}
@@ -224,6 +224,30 @@ SQL["forecast_fit_components"] = (
 )
 
 
+# The normal equations of the seasonal regression: right side and diagonal of the Gram matrix.
+def _equations(spark, sf):
+    found = seasonal.equations(_applications(spark, sf, "approval_status"))
+    p = seasonal.n_terms()
+    place = [i * p - i * (i - 1) // 2 for i in range(p)]  # of the diagonal in the upper half
+    return found.select(
+        "series", "n", "first_day", "last_day",
+        *(expr.rnd(F.col("side")[i], 3).alias(f"side_{i}") for i in range(p)),
+        *(expr.rnd(F.col("gram")[k], 3).alias(f"gram_{i}") for i, k in enumerate(place)),
+    )
+
+
+QUERIES["forecast_equations"] = _equations
+_years = "(date_diff('day', DATE '2000-01-01', ds) / 365.25::DOUBLE)"
+_terms = ["1.0::DOUBLE", _years]
+_terms += [f"{f}({2 * k}::DOUBLE * pi() * {_years})" for k in (1, 2, 3) for f in ("sin", "cos")]
+_terms += [f"CASE WHEN isodow(ds) = {d} THEN 1.0::DOUBLE ELSE 0.0 END" for d in range(1, 7)]
+SQL["forecast_equations"] = (
+    "SELECT series, count(*) AS n, min(ds) AS first_day, max(ds) AS last_day, "
+    + ", ".join(f"{ob.rnd(f'sum({x} * y)', 3)} AS side_{i}, {ob.rnd(f'sum({x} * {x})', 3)} AS gram_{i}" for i, x in enumerate(_terms))
+    + " FROM h_daily GROUP BY series"
+)
+
+
 def _evaluation(spark, sf):
     return forecast.backtest(_applications(spark, sf, "approval_status"), TRAIN_END)
 
