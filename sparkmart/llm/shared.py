@@ -50,6 +50,13 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def drop(folder: str, *names: str) -> None:
+    """Delete staged tables that no later step reads, to bound the disk in use."""
+    for name in names:
+        system, path = filesystem(f"{folder}/{name}")
+        system.delete_dir(path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files of finished steps now, not at its next collection."""
     gc.collect()

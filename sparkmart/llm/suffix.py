@@ -353,6 +353,7 @@ def repeated_runs(docs: DataFrame, folder: str, hot_units: int = HOT_UNITS) -> D
     # Written before it is joined, so that Spark can split a hot anchor on the other side.
     shared_anchors = shared.staged(shared_anchors, folder, "anchors")
     found = shared.staged(every.join(shared_anchors, "h", "left_semi"), folder, "shared")
+    shared.drop(folder, "members", "anchors")
     shared.release(spark)
     units = found.groupBy("h", "seg").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "place")).alias("first"))
     units = shared.staged(units.select("h", "seg", "copies", "first.rid", "first.place"), folder, "units")
@@ -361,6 +362,7 @@ def repeated_runs(docs: DataFrame, folder: str, hot_units: int = HOT_UNITS) -> D
     none_hot = hot.isEmpty()
     cold = units if none_hot else units.join(hot, "h", "left_anti")
     runs = shared.staged(repeated_units(unit_bytes(docs, cold)), folder, "runs")
+    shared.drop(folder, "units")
     shared.release(spark)
     spans = found.join(runs, ["h", "seg"]).select("rid", "place", "runs")
     if none_hot:
