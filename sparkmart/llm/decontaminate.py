@@ -180,10 +180,18 @@ WITH d AS (
 dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8),
 ip AS (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS q FROM i WHERE len(w) >= 8),
 ds AS (SELECT doc_id, p, a, concat_ws(' ', w[p], w[p + a], w[p + b], w[p + c], w[p + e]) AS seed FROM dp, m),
+r AS (
+  SELECT item_id, w, CAST(floor(len(w) / (len(w) - ceil(len(w) * 0.8::DOUBLE) + 1)) AS INTEGER) AS run
+  FROM i WHERE len(w) BETWEEN 1 AND 19
+), rp AS (SELECT item_id, w, run, unnest(range(1, len(w) - run + 2)) AS q FROM r),
+dr AS (SELECT doc_id, w, run, unnest(range(1, len(w) - run + 2)) AS p FROM d, (SELECT DISTINCT run FROM r) WHERE len(w) >= run),
 hits AS (
   SELECT DISTINCT doc_id, item_id, p - q AS shift FROM ds JOIN (
     SELECT item_id, q, a, concat_ws(' ', w[q], w[q + a], w[q + b], w[q + c], w[q + e]) AS seed FROM ip, m
   ) s USING (a, seed)
+  UNION
+  SELECT doc_id, item_id, p - q FROM (SELECT doc_id, p, run, array_to_string(w[p:p + run - 1], ' ') AS seed FROM dr)
+  JOIN (SELECT item_id, q, run, array_to_string(w[q:q + run - 1], ' ') AS seed FROM rp) USING (run, seed)
 ), eq AS (
   SELECT doc_id, item_id, shift, len(i.w) AS n,
     list_transform(range(1, len(i.w) + 1),

@@ -356,3 +356,26 @@ def test_short_items_are_found_at_every_length(spark, folder):
     b = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.overlaps(d, b, folder).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+
+
+def test_sql_of_overlaps_knows_short_items(spark, folder):
+    import duckdb
+
+    from tests_llm_helpers import invented
+
+    whole = [invented(k + 400, n).split() for k, n in enumerate((1, 2, 3, 5, 7, 8, 11, 15, 19, 20, 30))]
+    items = [(k, " ".join(w)) for k, w in enumerate(whole)] + [(90, None), (91, "")]
+    rows = []
+    for k, w in enumerate(whole):
+        changed = list(w)
+        for at in range(len(w) // 2, len(w), 6):
+            changed[at] = "changed"
+        rows += [(3 * k, "before " + " ".join(w) + " after"), (3 * k + 1, " ".join(changed)), (3 * k + 2, invented(k + 900, 40))]
+    con = duckdb.connect()
+    for name, key, table in (("benchmark", "item_id", items), ("documents", "doc_id", rows)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", table)
+    want = con.execute(decontaminate.OP1_SQL).fetchall()
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.overlaps(docs, benchmark, folder).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and {r.item_id for r in got} == set(range(len(whole)))
