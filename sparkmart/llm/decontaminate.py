@@ -38,6 +38,7 @@ SPAN = 8
 STRETCH = 20
 SHARE = 0.8
 BLOCK_SEEDS = 500_000
+LEAK_KEYS = 2_000_000  # keys of leaking rows that may be broadcast
 
 
 def tokens(text: Column) -> Column:
@@ -152,14 +153,17 @@ def overlaps(
 def clean(docs: DataFrame, benchmark: DataFrame, folder: str) -> DataFrame:
     """Rows without an overlap, unchanged. The join sees keys only, once for each document.
 
-    A row's key is its id and two hashes of its text, so rows with one id or none but other texts are
-    judged each by its own.
+    A row's key is two hashes of its id and text, so rows with one id or none but other texts are judged
+    each by its own. The keys of leaking rows are counted: up to ``LEAK_KEYS`` of them (16 bytes each)
+    are broadcast, so that texts stay where they are; more are joined by a shuffle.
     """
     text = docs["text"].cast("string")
-    key = F.concat_ws(":", F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text))
+    one, two = (F.xxhash64(F.lit(k), docs["doc_id"], text) for k in (1, 2))
+    key = F.struct(one.alias("one"), two.alias("two"))
     leaks = overlaps(docs.select(key.alias("doc_id"), text.alias("text")), benchmark, folder)
-    leaks = shared.staged(leaks.select(F.col("doc_id").alias("_leak")).distinct(), folder, "leaks")
-    return docs.join(leaks, key == leaks["_leak"], "left_anti")
+    leaks = shared.staged(leaks.select("doc_id.one", "doc_id.two").distinct(), folder, "leaks")
+    few = leaks.count() <= LEAK_KEYS
+    return docs.join(leaks.hint("broadcast" if few else "merge"), (one == leaks["one"]) & (two == leaks["two"]), "left_anti")
 
 
 def op1_spaced_seeds(spark, sf_dir: str) -> DataFrame:

@@ -235,11 +235,14 @@ def judged(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     return counted.withColumns({"base_failed": base_failed(), "kept": verdict(cutoffs)})
 
 
-def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, each judged by its own text; no row is found again by its id."""
-    ids = labels.select(F.col("doc_id").alias("_id")).distinct()
-    some = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
-    cutoffs = thresholds(_labelled(features(some, ["doc_id", "lang"]), labels))
+def kept_rows(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """The rows of ``docs`` that pass, each judged by its own text; no row is found again by its id.
+
+    Texts are counted twice, for the thresholds and for the verdict, but never shuffled: only the counts
+    meet the labels.
+    """
+    counted = shared.staged(features(docs, ["doc_id", "lang"]), folder, "features")
+    cutoffs = thresholds(_labelled(counted, labels))
     # Rows travel in a struct, so that no name of theirs can clash.
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "lang", "text")
     return features(rows, ["_row", "lang"]).where(verdict(cutoffs)).select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
