@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN_PARTS = 300_000  # what a Python worker keeps starts anew beyond that
+KNOWN_PARTS = 200_000  # what a Python worker keeps starts anew beyond that
 KNOWN_CHARS = 8_000_000
-SLICE = 4 << 20  # bytes of text encoded at once
+SLICE = 2 << 20  # bytes of text encoded at once
 LONG = 1 << 20  # characters; a longer text is encoded in parts, cut at blanks
 
 # The tokenizers' own patterns.

@@ -13,11 +13,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 PACKAGE = Path(__file__).resolve().parent.parent
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once for each Spark application."""
+    """Send the package to the executors, once for each Spark application.
+
+    Also bounds the bytes of a batch that tasks hand to Python: batches are counted in rows else, and
+    long texts would make them large on both sides.
+    """
+    if int((spark.conf.get(BATCH_KEY) or "0").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_sparkmart_shipped", False):
         return
