@@ -18,7 +18,8 @@ from sparkmart.llm import decontaminate, packing, quality, secrets_crf, setsketc
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that fail the base rule or a risk-controlled threshold."""
     shared.ship(spark)
-    return quality.kept_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.kept_rows(docs, labels, shared.workspace(spark, "stage-quality"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ids = rows.select("_number", F.col("_row.doc_id").alias("_id")).join(found, F.col("_number") == F.col("_found"))
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "_number")).getField("_number").alias("_kept")
     kept = shared.staged(ids.groupBy("component_id").agg(first).select("_kept"), folder, "kept")
-    left = rows.join(kept, rows["_number"] == kept["_kept"], "left_semi")
+    # The list grows with the documents, so it is not broadcast at any size.
+    left = rows.join(kept.hint("merge"), rows["_number"] == kept["_kept"], "left_semi")
     return left.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
 
 
