@@ -121,18 +121,33 @@ class States:
         self.spark, self.folder, self.mart, self.part, self.sketch = spark, folder.rstrip("/"), mart, part, sketch
 
     def refresh(self, fact: DataFrame, parts: Sequence[str]) -> None:
-        """Aggregate the given loads again. A fact that is partitioned by ``part`` is read for them only."""
+        """Aggregate the given loads again. A fact that is partitioned by ``part`` is read for them only.
+
+        The fact is read once for the groups and once for each list of distinct values, however many loads
+        there are: their states are aggregated together and kept while each load's are written.
+        """
+        if not parts:
+            return
         mart = self.mart
         states = {k: v().cast(WIDE) for k, v in mart.sums.items()} | {k: v().cast("bigint") for k, v in mart.counts.items()}
         if self.sketch:
             states |= {k: F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)) for k, c in mart.distinct.items()}
-        for part in parts:
-            rows = fact.where(F.col(self.part) == part)
-            path = f"load={part}"
-            rows.groupBy(*mart.groups).agg(*(v.alias(k) for k, v in states.items())).write.mode("overwrite").parquet(f"{self.folder}/groups/{path}")
-            for name, c in () if self.sketch else mart.distinct.items():
-                values = rows.where(F.col(c).isNotNull()).select(*mart.groups, F.col(c).cast("string").alias("value")).distinct()
-                values.write.mode("overwrite").parquet(f"{self.folder}/{name}/{path}")
+        rows = fact.where(F.col(self.part).isin(*parts))
+        load = F.col(self.part).alias("_part")
+        self._write("groups", rows.groupBy(load, *mart.groups).agg(*(v.alias(k) for k, v in states.items())), parts)
+        for name, c in () if self.sketch else mart.distinct.items():
+            values = rows.where(F.col(c).isNotNull()).select(load, *mart.groups, F.col(c).cast("string").alias("value")).distinct()
+            self._write(name, values, parts)
+
+    def _write(self, name: str, rows: DataFrame, parts: Sequence[str]) -> None:
+        """Replace the folder of each load, also of one without rows, by files of even size."""
+        rows = rows.persist()
+        try:
+            for part in parts:
+                load = rows.where(F.col("_part") == part).drop("_part").hint("rebalance")
+                load.write.mode("overwrite").parquet(f"{self.folder}/{name}/load={part}")
+        finally:
+            rows.unpersist()
 
     def loads(self) -> list[str]:
         """Dates that have a state; their names come from the folders alone."""

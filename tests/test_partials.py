@@ -69,3 +69,19 @@ def test_distinct_sketches_stay_within_their_error(spark, tmp_path):
     exact = {r.channel: r.total_customers_touched for r in roi.channel_cac(touches).collect()}
     for r in states.merged(touches).collect():
         assert abs(r.total_customers_touched / exact[r.channel] - 1) < 4 * 1.04 / (2**partials.SKETCH_BITS) ** 0.5
+
+
+@pytest.mark.parametrize("mart,ddl,passes", [(partials.CREDIT_RISK, LOANS, 1), (partials.CHANNEL_CAC, SPEND, 2)])
+def test_several_loads_are_aggregated_in_one_pass(spark, tmp_path, mart, ddl, passes):
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(row):
+        seen.add(1)
+        return row
+
+    data = rows(ddl, 5)
+    states = partials.States(spark, f"file://{tmp_path}", mart, "load")
+    states.refresh(spark.createDataFrame(spark.sparkContext.parallelize(data, 3).map(see), ddl), DATES)
+    assert states.loads() == DATES and seen.value == passes * len(data)
+    states.refresh(spark.createDataFrame(data, ddl), [])
+    assert states.loads() == DATES
