@@ -168,8 +168,7 @@ def _profile_by_loads(spark, sf):
     """The profile of both loads from a summary of each."""
     folder = workspace.new_folder(spark, "profiles")
     raw = tv.raw_entity(spark, sf, "loan_applications")
-    for date in (tv.EARLIER_LOAD, tv.LOAD_DATE):
-        profile_state.save(raw.where(F.col("load_date") == date).drop("load_date"), folder, date)
+    profile_state.save_loads(raw, folder, "load_date", [tv.EARLIER_LOAD, tv.LOAD_DATE])
     out = profile_state.profile(profile_state.saved(spark, folder))
     return out.select("column", "rows", "nulls", "null_pct", "min", "max", "avg", "stddev")
 

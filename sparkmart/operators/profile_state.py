@@ -26,48 +26,107 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions import expr
 
-DISTINCT_BITS, QUANTILE_K, FREQUENT = 12, 200, 64
+DISTINCT_BITS, QUANTILE_K, FREQUENT, TRACKED = 12, 200, 64, 1024
 SCHEMA = (
     "column string, rows long, nulls long, values long, least double, greatest double, mean double,"
     " squares double, distinct binary, quantiles binary, frequent array<struct<value:string,count:long>>"
 )
 
 
-def summary(df: DataFrame) -> DataFrame:
-    """One row for each column of a load: one pass for all numbers and sketches, one for frequent values."""
+def _totals(df: DataFrame, part: str | None = None) -> DataFrame:
+    """All numbers and sketches of each column in one pass, and in ``often`` each value that may be frequent.
+
+    The sketch of frequent items tracks ``TRACKED`` values or more, so its counts are too large by less than
+    4 / ``TRACKED`` of the rows and never too small: it misses no frequent value, and adds few.
+    """
+    columns = [c for c in df.columns if c != part]
     numbers = set(expr.numeric_columns(df))
+    load = F.lit(None).cast("string") if part is None else F.col(f"`{part}`").cast("string")
+    # Texts are made once for both sketches.
+    texts = [F.col(f"`{c}`").cast("string").alias(f"t{k}") for k, c in enumerate(columns)]
+    df = df.select(load.alias("load"), *(F.col(f"`{c}`").alias(f"v{k}") for k, c in enumerate(columns)), *texts)
     parts = []
-    for c in df.columns:
-        value = F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) if c in numbers else F.lit(None).cast("double")
+    for k, c in enumerate(columns):
+        value = F.nanvl(F.col(f"v{k}").cast("double"), F.lit(None)) if c in numbers else F.lit(None).cast("double")
         parts.append(
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(F.lit(1)).alias("rows"),
-                F.count_if(F.col(f"`{c}`").isNull()).alias("nulls"),
+                F.count_if(F.col(f"v{k}").isNull()).alias("nulls"),
                 F.count(value).alias("values"),
                 F.min(value).alias("least"),
                 F.max(value).alias("greatest"),
                 F.avg(value).alias("mean"),
                 (F.var_pop(value) * F.count(value)).alias("squares"),
-                F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), F.lit(DISTINCT_BITS)).alias("distinct"),
+                F.hll_sketch_agg(f"t{k}", F.lit(DISTINCT_BITS)).alias("distinct"),
                 (F.kll_sketch_agg_double(value, F.lit(QUANTILE_K)) if c in numbers else F.lit(None).cast("binary")).alias("quantiles"),
-            ).alias(f"c{len(parts)}")
+                F.call_function("approx_top_k", F.col(f"t{k}"), F.lit(2 * FREQUENT), F.lit(TRACKED)).alias("often"),
+            ).alias(f"c{k}")
         )
-    totals = df.agg(*parts).select(F.inline(F.array(*(f"c{k}" for k in range(len(parts))))))
-    long = df.select(*(F.col(f"`{c}`").cast("string").alias(f"v{k}") for k, c in enumerate(df.columns)))
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"v{k}").alias("value")) for k, c in enumerate(df.columns)))
-    counts = long.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    often = counts.where(F.col("count") * FREQUENT > rows).groupBy(F.col("column").alias("_column"))
-    often = often.agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias("frequent"))  # at most FREQUENT
-    out = totals.join(often, F.col("column") == F.col("_column"), "left").drop("_column")
+    totals = df.groupBy(*([] if part is None else ["load"])).agg(*parts)
+    of = F.inline(F.array(*(f"c{k}" for k in range(len(parts)))))
+    totals = totals.select(of, load.alias("load") if part is None else "load")
+    often = F.filter("often", lambda x: x["item"].isNotNull() & (x["count"] * FREQUENT > F.col("rows")))
+    return totals.withColumn("often", F.transform(often, lambda x: x["item"]))
+
+
+def _with_frequent(totals: DataFrame, df: DataFrame, part: str | None = None) -> DataFrame:
+    """``totals`` with the exact counts of the frequent values, by a second pass over the rows."""
+    columns = [c for c in df.columns if c != part]
+    load = F.lit(None).cast("string") if part is None else F.col(f"`{part}`").cast("string")
+    long = df.select(load.alias("_load"), *(F.col(f"`{c}`").cast("string").alias(f"v{k}") for k, c in enumerate(columns)))
+    pairs = F.array(*(F.struct(F.lit(c).alias("_column"), F.col(f"v{k}").alias("value")) for k, c in enumerate(columns)))
+    often = totals.select(F.col("load").alias("_of"), F.col("column").alias("_in"), "rows", F.explode("often").alias("_value"))
+    same = (F.col("_column") == F.col("_in")) & (F.col("value") == F.col("_value")) & F.col("_load").eqNullSafe(F.col("_of"))
+    counts = long.select("_load", F.inline(pairs)).join(F.broadcast(often), same)  # at most the size of the result
+    counts = counts.groupBy("_load", "_column", "value").agg(F.count(F.lit(1)).alias("count"), F.first("rows").alias("rows"))
+    counts = counts.where(F.col("count") * FREQUENT > F.col("rows")).groupBy("_load", "_column")
+    counts = counts.agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias("frequent"))  # at most FREQUENT
+    out = totals.join(counts, (F.col("column") == F.col("_column")) & F.col("load").eqNullSafe(F.col("_load")), "left")
     empty = F.array().cast("array<struct<value:string,count:long>>")
-    return out.withColumn("frequent", F.coalesce("frequent", empty)).select(*(f.split()[0] for f in SCHEMA.split(", ")))
+    out = out.withColumn("frequent", F.coalesce("frequent", empty))
+    return out.select(*(f.split()[0] for f in SCHEMA.split(", ")), "load")
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """One row for each column of a load: one pass for all numbers and sketches, one for frequent values
+    (and one more for what these may be, unless the totals are kept, as ``save`` does)."""
+    return _with_frequent(_totals(df), df).drop("load")
 
 
 def save(df: DataFrame, folder: str, load: str) -> None:
-    """Keep the summary of a load; a load that comes again replaces its own."""
-    summary(df).coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/load={load}")
+    """Keep the summary of a load; a load that comes again replaces its own. The rows are read twice."""
+    totals = _totals(df).persist()
+    try:
+        _write(_with_frequent(totals, df).drop("load"), folder, load)
+    finally:
+        totals.unpersist()
+
+
+def save_loads(df: DataFrame, folder: str, part: str, loads: Sequence[str]) -> None:
+    """Keep the summaries of several loads, each as ``save`` would, from two passes over the rows of all.
+
+    ``part`` is the column that names the load, as text; it is not profiled.
+    """
+    if not loads:
+        return
+    rows = df.where(F.col(f"`{part}`").cast("string").isin(*loads))
+    totals = _totals(rows, part).persist()
+    every = _with_frequent(totals, rows, part).persist()
+    try:
+        found = {r.load for r in every.select("load").distinct().collect()}
+        for load in loads:
+            if load in found:
+                _write(every.where(F.col("load") == load).drop("load"), folder, load)
+            else:
+                save(df.drop(part).where(F.lit(False)), folder, load)
+    finally:
+        every.unpersist()
+        totals.unpersist()
+
+
+def _write(rows: DataFrame, folder: str, load: str) -> None:
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/load={load}")
 
 
 def saved(spark: SparkSession, folder: str, loads: Sequence[str] | None = None) -> DataFrame:

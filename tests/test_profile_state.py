@@ -64,3 +64,41 @@ def test_drift_from_summaries(spark, tmp_path):
     assert abs(same["x"].mean_shift) < 0.15 and same["x"].rank_distance < 0.1 and same["k"].frequent_change < 0.1
     assert moved["x"].mean_shift > 2 and moved["x"].rank_distance > 0.5
     assert moved["empty"].null_share_change == -1.0 and same["empty"].null_share_change == 0.0 and same["empty"].rank_distance is None
+
+
+def counted(spark, data, ddl):
+    """The rows as a frame, and how often one of them has been read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(row):
+        seen.add(1)
+        return row
+
+    return spark.createDataFrame(spark.sparkContext.parallelize(data, 3).map(see), ddl), seen
+
+
+def test_a_load_is_read_twice(spark, tmp_path):
+    data = rows(8, 500)
+    df, seen = counted(spark, data, DDL)
+    profile_state.save(df, f"file://{tmp_path}", "1")
+    assert seen.value == 2 * len(data)
+    listed = {r["column"]: {x["value"]: x["count"] for x in r.frequent} for r in profile_state.saved(spark, f"file://{tmp_path}").collect()}
+    for k, c in enumerate(("k", "n")):
+        counts = Counter(str(r[k]) for r in data if r[k] is not None)
+        assert listed[c] == {v: n for v, n in counts.items() if n * profile_state.FREQUENT > len(data)}
+
+
+def test_several_loads_are_read_twice_together(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    # Far more values than the sketch of frequent ones tracks, one of them just frequent and one just not.
+    long = [("a", f"x{i}") for i in range(40_000)] + [("a", "often")] * 660 + [("a", "seldom")] * 600 + [("b", "b"), ("b", None), ("c", "c"), (None, "d")]
+    random.Random(9).shuffle(long)
+    df, seen = counted(spark, long, "load string, v string")
+    profile_state.save_loads(df, f"{folder}/one", "load", ["a", "b", "none"])
+    assert seen.value == 2 * len(long)
+    for name in ("a", "b", "none"):
+        profile_state.save(df.where(F.col("load") == name).drop("load"), f"{folder}/each", name)
+    plain = ["load", "column", "rows", "nulls", "values", "least", "mean", "squares", "frequent", F.hll_sketch_estimate("distinct").alias("n")]
+    one, each = (profile_state.saved(spark, f"{folder}/{x}").select(*plain).orderBy("load").collect() for x in ("one", "each"))
+    assert one == each and [(r.load, r.rows, r.nulls) for r in one] == [("a", 41_260, 0), ("b", 2, 1), ("none", 0, 0)]
+    assert [[tuple(x) for x in r.frequent] for r in one] == [[("often", 660)], [("b", 1)], []]
