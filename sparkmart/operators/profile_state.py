@@ -34,9 +34,10 @@ SCHEMA = (
 
 
 def _totals(df: DataFrame, part: str | None = None) -> DataFrame:
-    """All numbers and sketches of each column in one pass, and in ``often`` each value that may be frequent.
+    """All numbers and sketches of each column in one pass, and in ``often`` the hash of each value that may
+    be frequent.
 
-    The sketch of frequent items tracks ``TRACKED`` values or more, so its counts are too large by less than
+    The sketch of frequent items tracks ``TRACKED`` hashes or more, so its counts are too large by less than
     4 / ``TRACKED`` of the rows and never too small: it misses no frequent value, and adds few.
     """
     columns = [c for c in df.columns if c != part]
@@ -47,6 +48,7 @@ def _totals(df: DataFrame, part: str | None = None) -> DataFrame:
     df = df.select(load.alias("load"), *(F.col(f"`{c}`").alias(f"v{k}") for k, c in enumerate(columns)), *texts)
     parts = []
     for k, c in enumerate(columns):
+        key = F.when(F.col(f"t{k}").isNotNull(), F.xxhash64(f"t{k}"))
         value = F.nanvl(F.col(f"v{k}").cast("double"), F.lit(None)) if c in numbers else F.lit(None).cast("double")
         parts.append(
             F.struct(
@@ -60,7 +62,7 @@ def _totals(df: DataFrame, part: str | None = None) -> DataFrame:
                 (F.var_pop(value) * F.count(value)).alias("squares"),
                 F.hll_sketch_agg(f"t{k}", F.lit(DISTINCT_BITS)).alias("distinct"),
                 (F.kll_sketch_agg_double(value, F.lit(QUANTILE_K)) if c in numbers else F.lit(None).cast("binary")).alias("quantiles"),
-                F.call_function("approx_top_k", F.col(f"t{k}"), F.lit(2 * FREQUENT), F.lit(TRACKED)).alias("often"),
+                F.call_function("approx_top_k", key, F.lit(2 * FREQUENT), F.lit(TRACKED)).alias("often"),
             ).alias(f"c{k}")
         )
     totals = df.groupBy(*([] if part is None else ["load"])).agg(*parts)
@@ -76,9 +78,9 @@ def _with_frequent(totals: DataFrame, df: DataFrame, part: str | None = None) ->
     load = F.lit(None).cast("string") if part is None else F.col(f"`{part}`").cast("string")
     long = df.select(load.alias("_load"), *(F.col(f"`{c}`").cast("string").alias(f"v{k}") for k, c in enumerate(columns)))
     pairs = F.array(*(F.struct(F.lit(c).alias("_column"), F.col(f"v{k}").alias("value")) for k, c in enumerate(columns)))
-    often = totals.select(F.col("load").alias("_of"), F.col("column").alias("_in"), "rows", F.explode("often").alias("_value"))
-    same = (F.col("_column") == F.col("_in")) & (F.col("value") == F.col("_value")) & F.col("_load").eqNullSafe(F.col("_of"))
-    counts = long.select("_load", F.inline(pairs)).join(F.broadcast(often), same)  # at most the size of the result
+    often = totals.select(F.col("load").alias("_of"), F.col("column").alias("_in"), "rows", F.explode("often").alias("_key"))
+    same = (F.col("_column") == F.col("_in")) & (F.xxhash64("value") == F.col("_key")) & F.col("_load").eqNullSafe(F.col("_of"))
+    counts = long.select("_load", F.inline(pairs)).where(F.col("value").isNotNull()).join(F.broadcast(often), same)  # at most the size of the result
     counts = counts.groupBy("_load", "_column", "value").agg(F.count(F.lit(1)).alias("count"), F.first("rows").alias("rows"))
     counts = counts.where(F.col("count") * FREQUENT > F.col("rows")).groupBy("_load", "_column")
     counts = counts.agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias("frequent"))  # at most FREQUENT

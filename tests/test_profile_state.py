@@ -102,3 +102,10 @@ def test_several_loads_are_read_twice_together(spark, tmp_path):
     one, each = (profile_state.saved(spark, f"{folder}/{x}").select(*plain).orderBy("load").collect() for x in ("one", "each"))
     assert one == each and [(r.load, r.rows, r.nulls) for r in one] == [("a", 41_260, 0), ("b", 2, 1), ("none", 0, 0)]
     assert [[tuple(x) for x in r.frequent] for r in one] == [[("often", 660)], [("b", 1)], []]
+
+
+def test_frequent_values_that_are_no_utf8(spark, tmp_path):
+    df = spark.createDataFrame([(bytes([254 + i % 3 % 2]),) for i in range(300)] + [(None,)], "b binary")
+    profile_state.save(df, f"file://{tmp_path}", "1")
+    rows = profile_state.saved(spark, f"file://{tmp_path}").select(F.inline("frequent")).select(F.hex("value"), "count").collect()
+    assert sorted(map(tuple, rows)) == [("FE", 200), ("FF", 100)]
